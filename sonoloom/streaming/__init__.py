@@ -1,0 +1,6 @@
+"""No streaming operator is defined: the work is batch over finite splits.
+
+Every function in ``sonoloom.functions`` is a stateless row expression, so it can be
+applied to a streaming DataFrame as it stands. The first-N limit and the statistics
+reports need the whole table and are batch only.
+"""
