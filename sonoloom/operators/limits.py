@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Parallel groups that rank the keys of one split before their heads meet.
+# Parallel groups, at least, that rank the keys of one split before their heads meet.
 SPREAD = 256
 
 
@@ -22,12 +22,13 @@ def _key(order_by: str | Sequence[str]) -> Column:
 def cut_key(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
     """One row, one column `cut`: the largest of the first `n` keys, NULL for an empty table.
 
-    A split may hold most of the table, so its keys are ranked in SPREAD groups first, each
+    A split may hold most of the table, so its keys are ranked in many groups first, each
     keeping n + 1; the last step sees those heads only. The extra key tells whether the cut
     falls between equal keys, which would make "first n" undefined, and is then an error.
     """
+    groups = max(SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keys = df.select(_key(order_by).alias("key"))
-    keys = keys.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(SPREAD)))
+    keys = keys.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups)))
     in_part = Window.partitionBy("part").orderBy("key")
     heads = keys.withColumn("rank", F.row_number().over(in_part)).filter(F.col("rank") <= n + 1)
     ranked = heads.withColumn("rank", F.row_number().over(Window.orderBy("key")))

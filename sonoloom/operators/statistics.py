@@ -22,14 +22,22 @@ def _sums(df: DataFrame) -> DataFrame:
     )
 
 
-def _report(rate: int) -> list[Column]:
-    n, s = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("s"), F.lit(0))
-    return [n.alias("num_samples"), hours(s, rate).alias("duration_hours")]
+def _line(rate: int) -> list[Column]:
+    return [F.sum("n").alias("num_samples"), hours(F.sum("s"), rate).alias("duration_hours")]
+
+
+def _total(sums: DataFrame, rate: int) -> DataFrame:
+    """The one line over everything; zero for an empty corpus."""
+    n, s = (F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "s"))
+    line = sums.agg(n.alias("num_samples"), hours(s, rate).alias("duration_hours"))
+    return line.select(*(F.lit(None).cast("string").alias(c) for c in LEVELS), *line.columns)
 
 
 def corpus_statistics(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
     """num_samples and duration_hours per corpus, language and split. [G1]"""
-    return _sums(df).select(*LEVELS, F.col("n").alias("num_samples"), hours(F.col("s"), rate).alias("duration_hours"))
+    return _sums(df).select(
+        *LEVELS, F.col("n").alias("num_samples"), hours(F.col("s"), rate).alias("duration_hours")
+    )
 
 
 def totals(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
@@ -44,23 +52,21 @@ def totals(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
 def statistics_report(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
     """The statistics lines and the TOTAL line (is_total = 1) in one table. [G3]
 
-    The table is aggregated once; only its few result rows are expanded to grouping sets.
+    The total is taken from the few rows of the lines; their one exchange is reused.
     """
-    levels = [F.col(c) for c in LEVELS]
-    return (
-        _sums(df)
-        .groupingSets([levels, []], *levels)
-        .agg(*_report(rate), F.grouping("corpus").cast("int").alias("is_total"))
-    )
+    sums = _sums(df)
+    lines = corpus_statistics(df, rate).withColumn("is_total", F.lit(0))
+    return lines.unionByName(_total(sums, rate).withColumn("is_total", F.lit(1)))
 
 
 def statistics_rollup(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
-    """The statistics at every level: split, language, corpus and total. [G4]"""
-    return (
-        _sums(df)
-        .rollup(*LEVELS)
-        .agg(*_report(rate), F.grouping_id().cast("int").alias("level"))
-    )
+    """The statistics at every level: 0 split, 1 language, 3 corpus, 7 total. [G4]"""
+    sums = _sums(df)
+    corpus, language, split = (F.col(c) for c in LEVELS)
+    lines = sums.groupingSets(
+        [[corpus, language, split], [corpus, language], [corpus]], corpus, language, split
+    ).agg(*_line(rate), F.grouping_id().cast("int").alias("level"))
+    return lines.unionByName(_total(sums, rate).withColumn("level", F.lit(7)))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -70,8 +76,12 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def stage_counts(df: DataFrame, stages: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Rows left after each stage, in one pass; a row passes a stage if it passed all before. [G8]"""
-    passed, counts = F.lit(True), [F.count("*").alias("loaded")]
-    for name, predicate in stages.items():
-        passed = passed & predicate
-        counts.append(F.count_if(passed).alias(name))
-    return df.groupBy(*by).agg(*counts)
+    names = list(stages)
+    reached = F
+    for i, name in enumerate(names):
+        reached = reached.when(~F.coalesce(stages[name], F.lit(False)), i)
+    rows = df.select(*by, reached.otherwise(len(names)).alias("reached"))
+    return rows.groupBy(*by).agg(
+        F.count("*").alias("loaded"),
+        *(F.count_if(F.col("reached") > i).alias(name) for i, name in enumerate(names)),
+    )
