@@ -25,8 +25,14 @@ def transcripts(spark, sf_dir):
 
 
 def flagship(spark, sf_dir):
-    """All splits: filter, clean, process audio, write, and the report over what was written."""
-    return ingest.prepare_corpus(transcripts(spark, sf_dir), sink.scratch_folder(spark), dictionary=False)
+    """All splits: filter, clean, process audio, write, and the report over what was written.
+
+    There are three partitions, so a task writes three files at most and the audio is not
+    shuffled for the sink.
+    """
+    return ingest.prepare_corpus(
+        transcripts(spark, sf_dir), sink.scratch_folder(spark), dictionary=False, rebalance=False
+    )
 
 
 _GENERIC_SQL = f"""

@@ -14,6 +14,15 @@ def _column(value: Column | int) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
 
 
+def _bound(value: Column, body) -> Column:
+    """`body(value)` with the value computed once.
+
+    A lambda evaluates the columns it mentions anew for every element; for a computed
+    waveform that would be quadratic work. Passed in as an element, the value is at hand.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def audio_form(cell: Column) -> Column:
     """Which form of an audio cell is used: 'array', 'bytes', 'path', 'bare', or NULL for none. [A1]
 
@@ -42,14 +51,16 @@ def downmix(frames: Column) -> Column:
 def deinterleave(samples: Column, channels: Column | int) -> Column:
     """Interleaved samples as frames of `channels` values."""
     channels = _column(channels)
-    count = F.floor(F.size(samples) / channels)
-    return F.when(
-        count > 0,
-        F.transform(
-            F.sequence(F.lit(0), (count - 1).cast("int")),
-            lambda i: F.slice(samples, i * channels + 1, channels),
-        ),
-    ).when(count == 0, F.array().cast("array<array<float>>"))
+
+    def frames(s: Column) -> Column:
+        count = F.floor(F.size(s) / channels).cast("int")
+        cut = F.transform(
+            F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))),
+            lambda i: F.slice(s, i * channels + 1, channels),
+        )
+        return F.when(count > 0, cut).when(count == 0, F.array().cast("array<array<float>>"))
+
+    return _bound(samples, frames)
 
 
 def resampled_size(size: Column, rate: Column | int, target: int = V.TARGET_RATE) -> Column:
@@ -61,29 +72,32 @@ def resampled_size(size: Column, rate: Column | int, target: int = V.TARGET_RATE
 def resample(wave: Column, rate: Column | int, target: int = V.TARGET_RATE) -> Column:
     """Linear interpolation between the same end points, in double precision. [A4]
 
-    Samples already at the target rate pass through. A waveform without samples has
-    nothing to interpolate and gives NULL when its rate differs.
+    Samples already at the target rate pass through. Otherwise a waveform without samples,
+    or without a positive rate, has nothing to interpolate and gives NULL.
     """
     rate = _column(rate)
-    wave = wave.cast("array<double>")
-    last = F.size(wave) - 1
     count = resampled_size(F.size(wave), rate, target).cast("int")
-    step = F.coalesce(F.try_divide(last, count - 1), F.lit(0.0))
-
-    def sample(i: Column) -> Column:
-        position = i * step
-        left = F.floor(position).cast("int")
-        here = F.get(wave, left)
-        ahead = F.get(wave, F.least(left + 1, last))
-        return F.when((i == count - 1) & (count > 1), F.get(wave, last)).otherwise(
-            here + (position - left) * (ahead - here)
-        )
+    frame = F.struct(
+        wave.alias("wave"),
+        (F.size(wave) - 1).alias("last"),
+        count.alias("count"),
+        F.coalesce(F.try_divide(F.size(wave) - 1, count - 1), F.lit(0.0)).alias("step"),
+    )
 
-    return (
-        F.when(rate == target, wave)
-        .when((last < 0) | count.isNull(), F.lit(None))
-        .when(count < 1, F.array().cast("array<double>"))
-        .otherwise(F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), sample))
+    def interpolated(f: Column) -> Column:
+        at = lambda j: F.get(f["wave"], j).cast("double")
+
+        def sample(i: Column) -> Column:
+            position = i * f["step"]
+            left = F.floor(position).cast("int")
+            between = at(left) + (position - left) * (at(F.least(left + 1, f["last"])) - at(left))
+            return F.when((i == f["count"] - 1) & (i > 0), at(f["last"])).otherwise(between)
+
+        points = F.transform(F.sequence(F.lit(0), F.greatest(f["count"] - 1, F.lit(0))), sample)
+        return F.when(f["count"] > 0, points).otherwise(F.array().cast("array<double>"))
+
+    return F.when(rate == target, wave.cast("array<double>")).when(
+        (F.size(wave) > 0) & (rate > 0), _bound(frame, interpolated)
     )
 
 

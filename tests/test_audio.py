@@ -129,7 +129,7 @@ def test_resampling_forms_agree(spark, rate, size):
 
 def test_resampling_edges(spark):
     df = spark.createDataFrame(
-        [(0, [], 8000), (1, [], 16000), (2, [0.5], 48000), (3, None, 8000), (4, [0.5], 0), (5, [0.5], None)],
+        [(0, [], 8000), (1, [], 16000), (2, [0.5], 48000), (3, None, 8000), (4, [0.5], 0), (5, [0.5], None), (6, [0.5], -8000)],
         "i int, w array<float>, r int",
     )
     rows = sorted(
@@ -139,8 +139,8 @@ def test_resampling_edges(spark):
             payload.resample(F.col("w"), F.col("r")).alias("b"),
         ).collect()
     )
-    assert [r.a for r in rows] == [None, [], [], None, None, None]
-    assert [r.b for r in rows] == [None, [], [], None, None, None]
+    assert [r.a for r in rows] == [None, [], [], None, None, None, None]
+    assert [r.b for r in rows] == [None, [], [], None, None, None, None]
 
 
 def test_downmix_equals_single_precision_mean(spark):
@@ -152,6 +152,14 @@ def test_downmix_equals_single_precision_mean(spark):
         assert np.array_equal(np.array(got, np.float32), frames.mean(axis=1))
 
 
+@pytest.mark.parametrize("channels", [1, 2, 3, 7, 8, 11])
+def test_channels_of_a_file(spark, channels):
+    frames = np.random.default_rng(channels).uniform(-0.9, 0.9, (200, channels))
+    df = table(spark, w__binary=[wav(frames.reshape(-1), 16000, channels=channels)])
+    decoded = np.array(one(df, payload.decode(F.col("w"))).samples, np.float32).reshape(-1, channels)
+    assert one(df, payload.waveform(F.col("w"))) == decoded.mean(axis=1).tolist()
+
+
 def test_quantise(spark):
     df = spark.createDataFrame([([0.0, 1.0, -1.0, 2.0, -2.0, 0.5, -0.5, float("nan")],)], "w array<float>")
     expected = [0, 32767, -32767, 32767, -32767, 16383, -16383, 0]
