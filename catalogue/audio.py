@@ -67,9 +67,8 @@ def _forms(spark, sf_dir):
 
 def _speech_sizes(spark, sf_dir):
     cell = F.col("audio")
-    return speech(spark, sf_dir).select(
-        "doc_id", audio.resampled_size(F.size(cell["array"]), cell["sampling_rate"]).alias("audio_size")
-    )
+    size = audio.resampled_size(F.size(cell["array"]), cell["sampling_rate"])
+    return speech(spark, sf_dir).select("doc_id", size.alias("audio_size"))
 
 
 def _fallback(spark, sf_dir):
@@ -77,7 +76,9 @@ def _fallback(spark, sf_dir):
     data, size = audio.or_empty_audio(
         F.when(read.isNotNull(), F.col("wav")), F.size(read["samples"])
     )
-    return _recordings(spark, sf_dir).select("vec_id", F.length(data).alias("n_bytes"), size.alias("audio_size"))
+    return _recordings(spark, sf_dir).select(
+        "vec_id", F.length(data).cast("bigint").alias("n_bytes"), size.alias("audio_size")
+    )
 
 
 def _text_bytes(spark, sf_dir):
@@ -87,8 +88,9 @@ def _text_bytes(spark, sf_dir):
 def _int8(spark, sf_dir):
     values = _text_bytes(spark, sf_dir).select("doc_id", payload.bytes_to_int8(F.col("payload")).alias("v"))
     total = F.aggregate("v", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    least = F.array_min("v").cast("int")
     return values.select(
-        "doc_id", F.size("v").cast("bigint").alias("n"), total.alias("total"), F.array_min("v").cast("int").alias("least")
+        "doc_id", F.size("v").cast("bigint").alias("n"), total.alias("total"), least.alias("least")
     )
 
 

@@ -8,7 +8,6 @@ from catalogue.stand_ins import SPLIT_SQL, audio_cell, split_of, table
 from sonoloom.operators import statistics, tables
 from sonoloom.schema import TARGET
 from sonoloom.sources import scans, sink
-from sonoloom.plans import ingest
 
 SPLITS = ("train", "validation", "test")
 
@@ -65,9 +64,9 @@ def _scan_split(spark, sf_dir):
     """A landed raw table with one directory per split."""
     root = sink.scratch_folder(spark)
     docs = table(spark, sf_dir, "documents").withColumn("split", split_of())
-    docs.write.partitionBy("split").parquet(root)
+    docs.write.partitionBy("split").parquet(f"{root}/prose")
     schema = table(spark, sf_dir, "documents").schema
-    return scans.read_split(spark, root, "validation", schema)
+    return scans.read_split(spark, root, "validation", config="prose", schema=schema)
 
 
 def _skip_corrupt(spark, sf_dir):
@@ -91,7 +90,7 @@ def _skip_missing(spark, sf_dir):
 def _by_path(spark, sf_dir):
     """Pages landed one file each; three of four rows know only the path of their file."""
     root = sink.scratch_folder(spark)
-    pages = table(spark, sf_dir, "pages")
+    pages = scans.spread(table(spark, sf_dir, "pages"), "page_id")
     page = F.concat_ws("\t", F.col("page_id").cast("string"), "html")
     pages.select(page).write.option("maxRecordsPerFile", 1).text(root)
 

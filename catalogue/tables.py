@@ -21,7 +21,10 @@ def _raw(spark, sf_dir):
     """Documents as rows of the target, with an extra column and another column order."""
     return tables.add_metadata(
         _docs(spark, sf_dir).select(
-            "doc_id", F.col("n_chars").cast("int").alias("audio_size"), "text", F.encode("text", "utf-8").alias("audio_bytes")
+            "doc_id",
+            F.col("n_chars").cast("int").alias("audio_size"),
+            "text",
+            F.encode("text", "utf-8").alias("audio_bytes"),
         ),
         corpus="c1",
         split="train",
@@ -52,7 +55,9 @@ ranked AS (
 
 QUERIES = {
     "state_filter": (
-        lambda spark, sf_dir: tables.where_equal(_docs(spark, sf_dir), "source", "src3").select("doc_id", "source", "text"),
+        lambda spark, sf_dir: tables.where_equal(_docs(spark, sf_dir), "source", "src3").select(
+            "doc_id", "source", "text"
+        ),
         "SELECT doc_id, source, text FROM documents WHERE source = 'src3'",
     ),
     "drop_empty_text": (

@@ -27,6 +27,12 @@ CJK_PUNCTUATION = {
     "ko": "。、；：？！…—～·ㆍ「」『』（）｛｝［］【】《》〈〉〔〕",
 }
 
+# Kinds of brackets whose content counts as annotation, in the order of their removal.
+BRACKETS = ("[]", "<>", "{}", "()")
+
+# What is deleted from a transcript, in order: {translations}, <tags>, runs of dashes.
+TRANSCRIPT_NOISE = (r"\{[^}]*\}", r"<[^>]*>", r"--+")
+
 # Marks deleted from a transcript when its punctuation is unwanted.
 TRANSCRIPT_PUNCTUATION = "।॥?!,;:.'\""
 

@@ -53,7 +53,7 @@ def squeeze_whitespace(text: Column) -> Column:
 
 def strip_brackets(text: Column) -> Column:
     """Delete [..], <..>, {..} and (..) in that order, shortest match, within a line. [T5]"""
-    for opening, closing in ("[]", "<>", "{}", "()"):
+    for opening, closing in V.BRACKETS:
         # (?d): only \n ends a line
         text = F.regexp_replace(text, rf"(?d)\{opening}.*?\{closing}", "")
     return text
@@ -101,7 +101,7 @@ def normalise(
 
 def clean_transcript(text: Column, remove_punctuation: bool = False) -> Column:
     """Delete {translations}, <tags> and runs of dashes from a transcript; NULL gives ''. [T9, T10]"""
-    for pattern in (r"\{[^}]*\}", r"<[^>]*>", r"--+"):
+    for pattern in V.TRANSCRIPT_NOISE:
         text = F.regexp_replace(text, pattern, "")
     if remove_punctuation:
         text = F.translate(text, V.TRANSCRIPT_PUNCTUATION, "")

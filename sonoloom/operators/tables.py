@@ -5,11 +5,11 @@ from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, StructType
 
 from sonoloom import fixed_values as V
 from sonoloom.functions import audio, payload, text as tx
-from sonoloom.schema import TARGET
+from sonoloom.schema import AUDIO_CELL, TARGET
 
 
 def where_equal(df: DataFrame, column: str, value) -> DataFrame:
@@ -71,16 +71,38 @@ def clean_table(df: DataFrame, text_column: str = "transcript") -> DataFrame:
     return df.withColumn(text_column, tx.clean_transcript(F.col(text_column)))
 
 
+def audio_cell(df: DataFrame, column: str) -> Column:
+    """An audio column of any form as an audio cell; fields that it lacks are NULL. [A1]
+
+    The column may be a struct with some of the fields, encoded bytes, bare samples, or
+    bare frames of several channels. Frames are mixed down.
+    """
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, StructType):
+        given = {f.name: (value[f.name], f.dataType) for f in kind.fields}
+    else:
+        given = {"bytes" if isinstance(kind, BinaryType) else "array": (value, kind)}
+    samples, kind = given.get("array", (None, None))
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType):
+        given["array"] = audio.downmix(samples.cast("array<array<float>>")), None
+    return F.struct(
+        *(
+            given.get(f.name, (F.lit(None), None))[0].cast(f.dataType).alias(f.name)
+            for f in AUDIO_CELL.fields
+        )
+    )
+
+
 def process_audio(df: DataFrame, column: str = "audio", target: int = V.TARGET_RATE) -> DataFrame:
     """Add audio_bytes and audio_size for an audio cell column. [A11]"""
-    processed = payload.process(F.col(column), target)
+    processed = payload.process(audio_cell(df, column), target)
     data, size = audio.or_empty_audio(processed["audio_bytes"], processed["audio_size"])
     return df.withColumns({"audio_bytes": data, "audio_size": size})
 
 
 def cast_audio_rate(df: DataFrame, column: str = "audio", target: int = V.TARGET_RATE) -> DataFrame:
     """Bring the samples of an audio cell column to one rate. [A12]"""
-    cell = F.col(column)
+    cell = audio_cell(df, column)
     samples = payload.resample(cell["array"], cell["sampling_rate"], target)
     return df.withColumn(
         column,

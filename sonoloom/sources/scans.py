@@ -10,10 +10,15 @@ def read_split(
     spark: SparkSession,
     path: str,
     split: str,
+    config: str | None = None,
     schema: StructType = RAW_TRANSCRIPTS,
     split_column: str = "split",
 ) -> DataFrame:
-    """One named split of a landed table with a `split=` directory level. [S1]"""
+    """One named split of a landed table with a `split=` directory level. [S1]
+
+    `config` names a subset, a folder of its own below `path`.
+    """
+    path = f"{path}/{config}" if config else path
     whole = StructType(list(schema.fields))
     if split_column not in whole.names:
         whole = whole.add(split_column, "string")

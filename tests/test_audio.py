@@ -59,6 +59,28 @@ def test_all_forms_of_an_audio_cell(spark):
         assert np.abs(values - samples).max() < 3 / 32767
 
 
+def test_audio_columns_of_other_types(spark):
+    samples = sine(0.1)
+    floats = [float(x) for x in samples]
+    stereo = [[x, 0.0] for x in floats]
+    columns = {
+        "binary": wav(samples),
+        "struct<bytes:binary,path:string>": (wav(samples), None),
+        "array<float>": floats,
+        "array<double>": floats,
+        "struct<array:array<double>,sampling_rate:int>": (floats, 8000),
+        "array<array<float>>": stereo,
+        "struct<array:array<array<float>>,sampling_rate:int>": (stereo, 48000),
+    }
+    sizes = []
+    for kind, value in columns.items():
+        df = spark.createDataFrame([(value,), (None,)], f"audio {kind}")
+        rows = sorted(tables.process_audio(df).collect(), key=lambda r: r.audio_size)
+        assert rows[0].audio_size == 0 and bytes(rows[0].audio_bytes) == b""
+        sizes.append(rows[1].audio_size)
+    assert sizes == [1600, 1600, 1600, 1600, 3200, 1600, 533]
+
+
 def test_failed_audio_is_kept_empty(spark):
     cells = [
         None,
@@ -110,26 +132,36 @@ def by_hand(samples, rate, target):
     return out
 
 
-@pytest.mark.parametrize("rate", [8000, 11025, 16000, 22050, 44100, 48000])
-@pytest.mark.parametrize("size", [1, 2, 3, 64, 1000])
-def test_resampling_forms_agree(spark, rate, size):
-    rng = np.random.default_rng(size)
-    samples = [float(x) for x in rng.uniform(-1, 1, size).astype(np.float32)]
-    df = spark.createDataFrame(
-        [(samples, rate)], "w array<float>, r int"
-    )
-    expected = samples if rate == 16000 else by_hand(samples, rate, 16000)
-    row = df.select(
+def test_resampling_forms_agree(spark):
+    cases = []
+    for rate in (8000, 11025, 16000, 22050, 44100, 48000):
+        for size in (1, 2, 3, 64, 1000):
+            wave_ = np.random.default_rng(size).uniform(-1, 1, size).astype(np.float32)
+            cases.append((len(cases), [float(x) for x in wave_], rate))
+    df = spark.createDataFrame(cases, "i int, w array<float>, r int")
+    rows = df.select(
+        "i",
         audio.resample(F.col("w"), F.col("r")).alias("a"),
         payload.resample(F.col("w"), F.col("r")).alias("b"),
         audio.resampled_size(F.size("w"), F.col("r")).alias("n"),
-    ).first()
-    assert row.a == expected and row.b == expected and row.n == len(expected)
+    ).collect()
+    for row in rows:
+        _, samples, rate = cases[row.i]
+        expected = samples if rate == 16000 else by_hand(samples, rate, 16000)
+        assert row.a == expected and row.b == expected and row.n == len(expected)
 
 
 def test_resampling_edges(spark):
     df = spark.createDataFrame(
-        [(0, [], 8000), (1, [], 16000), (2, [0.5], 48000), (3, None, 8000), (4, [0.5], 0), (5, [0.5], None), (6, [0.5], -8000)],
+        [
+            (0, [], 8000),
+            (1, [], 16000),
+            (2, [0.5], 48000),
+            (3, None, 8000),
+            (4, [0.5], 0),
+            (5, [0.5], None),
+            (6, [0.5], -8000),
+        ],
         "i int, w array<float>, r int",
     )
     rows = sorted(

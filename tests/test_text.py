@@ -47,36 +47,44 @@ def test_transcript_punctuation(spark):
     assert apply(spark, clean, given) == ["राम गया why abcd e f (g)", "", ""]
 
 
-@pytest.mark.parametrize(
-    "given, language, brackets, expected",
-    [
-        (None, "en", False, None),
-        ("", "en", False, None),
-        ("  !? ", "en", False, None),
-        ("१२ 34", "en", False, None),
-        ("²", "en", False, None),
-        ("12\t3", "en", False, None),
-        ("12 x", "en", False, "12 x"),
-        ("a\x1cb　c\x85", "en", False, "a b c"),
-        ("e\u0301", "fr", False, "\u00e9"),
-        ("Don't", "en", False, "dont"),
-        ("a।", "hi", False, "a।"),
-        ("[a[b]c] x", "en", True, "c x"),
-        ("[a\nb] (c\rd) x", "en", True, "a b x"),
-        ("<a>{b}(c)[d]", "en", True, None),
-        ("ラーメン。", "ja", False, "ラメン"),
-        ("ラーメン。", "JA_Jpan", False, "ラメン"),
-        ("ラーメン。", "jpn_Jpan", False, "ラーメン。"),
-        ("你好，世界“x”々", "zh", False, "你好世界“x”"),
-        ("안녕ㆍ，", "ko", False, "안녕，"),
-    ],
-)
-def test_normalise_edges(spark, given, language, brackets, expected):
-    options = dict(drop_digit_only=True, remove_brackets=brackets)
-    assert apply(spark, lambda c: tx.normalise(c, language, **options), [given]) == [expected]
-    as_column = lambda c: tx.normalise(c, F.lit(language), **options)
-    assert apply(spark, as_column, [given]) == [expected]
-    assert apply(spark, lambda c: tx.normalise_or_empty(c, language, **options), [given]) == [expected or ""]
+# text, language, brackets removed, normalised text
+NORMALISED = [
+    (None, "en", False, None),
+    ("", "en", False, None),
+    ("  !? ", "en", False, None),
+    ("१२ 34", "en", False, None),
+    ("²", "en", False, None),
+    ("12\t3", "en", False, None),
+    ("12 x", "en", False, "12 x"),
+    ("a\x1cb　c\x85", "en", False, "a b c"),
+    ("e\u0301", "fr", False, "\u00e9"),
+    ("Don't", "en", False, "dont"),
+    ("a।", "hi", False, "a।"),
+    ("[a[b]c] x", "en", True, "c x"),
+    ("[a\nb] (c\rd) x", "en", True, "a b x"),
+    ("<a>{b}(c)[d]", "en", True, None),
+    ("ラーメン。", "ja", False, "ラメン"),
+    ("ラーメン。", "JA_Jpan", False, "ラメン"),
+    ("ラーメン。", "jpn_Jpan", False, "ラーメン。"),
+    ("你好，世界“x”々", "zh", False, "你好世界“x”"),
+    ("안녕ㆍ，", "ko", False, "안녕，"),
+]
+
+
+def test_normalise_edges(spark):
+    for language, brackets in {(c[1], c[2]) for c in NORMALISED}:
+        cases = {c[0]: c[3] for c in NORMALISED if c[1:3] == (language, brackets)}
+        options = dict(drop_digit_only=True, remove_brackets=brackets)
+        expected = [(e, e, e or "") for e in cases.values()]
+
+        def all_forms(c):
+            return F.struct(
+                tx.normalise(c, language, **options).alias("fixed"),
+                tx.normalise(c, F.lit(language), **options).alias("by_row"),
+                tx.normalise_or_empty(c, language, **options).alias("never_null"),
+            )
+
+        assert [tuple(r) for r in apply(spark, all_forms, list(cases))] == expected
 
 
 def _all_characters(spark):
