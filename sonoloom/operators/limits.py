@@ -10,8 +10,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Parallel groups, at least, that rank the keys of one split before their heads meet.
-SPREAD = 256
+# Keys that one task may count one by one; above, they are narrowed down by ranks first.
+COUNTED = 100_000
+
+# Groups among which keys are ranked to narrow them down.
+GROUPS = 256
 
 
 def _key(order_by: str | Sequence[str]) -> Column:
@@ -19,24 +22,73 @@ def _key(order_by: str | Sequence[str]) -> Column:
     return F.col(names[0]) if len(names) == 1 else F.struct(*names)
 
 
-def cut_key(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
-    """One row, one column `cut`: the largest of the first `n` keys, NULL for an empty table.
+def _group(groups: int) -> Column:
+    """A group number that is as good as random, so each group is an even sample of the keys."""
+    return F.pmod(F.xxhash64("key"), F.lit(groups))
+
+
+def _lowest(keys: DataFrame, n: int) -> DataFrame:
+    """The keys up to a bound that more than `n` keys reach: some n * ln(n) of them.
+
+    The bound is the largest of the smallest keys of n + 1 groups. If a group is empty the
+    table is of that size itself. One hash aggregation finds it; nothing is sorted.
+    """
+    smallest = keys.groupBy(_group(n + 1).alias("group")).agg(F.min("key").alias("key"))
+    bound = smallest.agg(F.when(F.count("*") == n + 1, F.max("key"))).scalar()
+    return keys.filter(bound.isNull() | (F.col("key") <= bound))
+
+
+def _between(keys: DataFrame, n: int, groups: int) -> tuple[DataFrame, Column]:
+    """Keys up to an upper bound of the cut, and a lower bound of it. For n >= groups.
+
+    With share = n / groups, rounded down: fewer than n keys lie below the smallest of the
+    groups' keys of rank `share`, and more than n keys reach the largest of their keys of
+    rank `share` + 1, provided every group has one.
+    """
+    share, key = n // groups, F.col("key")
+    in_group = Window.partitionBy(_group(groups)).orderBy("key")
+    ranked = keys.withColumn("rank", F.row_number().over(in_group)).filter(F.col("rank") <= share + 1)
+    at, above = (F.when(F.col("rank") == rank, key) for rank in (share, share + 1))
+    bounds = ranked.agg(
+        F.struct(
+            F.min(at).alias("low"), F.when(F.count(above) == groups, F.max(above)).alias("high")
+        )
+    ).scalar()
+    high = bounds["high"]
+    return keys.filter(high.isNull() | (key <= high)), bounds["low"]
+
+
+def cut_key(
+    df: DataFrame,
+    n: int,
+    order_by: str | Sequence[str],
+    counted: int = COUNTED,
+    groups: int = GROUPS,
+) -> DataFrame:
+    """One row, one column `cut`: the `n`-th smallest key, or the largest if there are fewer.
 
-    A split may hold most of the table, so its keys are ranked in many groups first, each
-    keeping n + 1; the last step sees those heads only. The extra key tells whether the cut
-    falls between equal keys, which would make "first n" undefined, and is then an error.
+    Exact for any `n`, with no task that orders more than a bounded number of keys: those
+    above an upper bound of the cut are left out, and for a large `n` those below a lower
+    bound are only counted as a whole.
     """
-    groups = max(SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keys = df.select(_key(order_by).alias("key"))
-    keys = keys.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(groups)))
-    in_part = Window.partitionBy("part").orderBy("key")
-    heads = keys.withColumn("rank", F.row_number().over(in_part)).filter(F.col("rank") <= n + 1)
-    ranked = heads.withColumn("rank", F.row_number().over(Window.orderBy("key")))
-    ranked = ranked.filter(F.col("rank") <= n + 1)
-    cut = F.max(F.when(F.col("rank") <= n, F.col("key")))
-    beyond = F.max(F.when(F.col("rank") > n, F.col("key")))
+    keys = _lowest(df.select(_key(order_by).alias("key")), n)
+    each = F.col("key")
+    if n > counted:
+        keys, low = _between(keys, n, groups)
+        each = F.when(each >= low, each)
+    tally = (
+        keys.groupBy(each.alias("each"))
+        .agg(F.count("*").alias("n"), F.max("key").alias("largest"))
+        .withColumn("upto", F.sum("n").over(Window.orderBy(F.col("each").asc_nulls_first())))
+    )
+    # a key shared by rows within and beyond the first n leaves "first n" undefined
+    reached = F.min(F.when(F.col("upto") >= n, F.struct("each", "upto")))
     tied = F.raise_error(F.lit(f"the order key is not unique at row {n}"))
-    return ranked.agg(F.when(cut == beyond, tied).otherwise(cut).alias("cut"))
+    return tally.agg(
+        F.when(reached["upto"] > n, tied)
+        .otherwise(F.coalesce(reached["each"], F.max("largest")))
+        .alias("cut")
+    )
 
 
 def within_first(

@@ -49,6 +49,27 @@ def test_limit_beyond_the_group_limit_threshold(spark):
     assert ids(limits.first_rows_per_split(df, 3000, ("train",), "id")) == list(range(3000))
 
 
+@pytest.mark.parametrize("counted, groups", [(10_000, 1), (0, 1), (0, 3), (0, 16)])
+def test_cut_against_sorting(spark, counted, groups):
+    """With `counted` at 0 the keys are narrowed down by ranks, however few there are."""
+    keys = random.Random(groups).sample(range(100_000), 700)
+    df = spark.createDataFrame([(k,) for k in keys], "id long").coalesce(2)
+    for n in (groups, 40, 350, 699, 700, 701, 20_000):
+        expected = sorted(keys)[:n][-1]
+        assert limits.cut_key(df, n, "id", counted, groups).first().cut == expected
+
+
+@pytest.mark.parametrize("counted", [0, 10_000])
+def test_cut_among_equal_keys(spark, counted):
+    keys = [1] * 300 + [2] + [3] * 200
+    df = spark.createDataFrame([(k,) for k in keys], "id long").coalesce(2)
+    for n, cut in ((300, 1), (301, 2), (501, 3), (900, 3)):
+        assert limits.cut_key(df, n, "id", counted, 4).first().cut == cut
+    for n in (299, 302, 500):
+        with pytest.raises(Exception, match="not unique"):
+            limits.cut_key(df, n, "id", counted, 4).collect()
+
+
 def test_tie_at_the_cut_is_an_error(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "id long")
     with pytest.raises(Exception, match="not unique"):
