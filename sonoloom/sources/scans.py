@@ -31,7 +31,8 @@ def read_corpus(
     """A stored corpus with its partition values; keyword values prune directories. [S2, S4, S5]
 
     The schema is given, never inferred: no file is opened to plan the read, partition
-    values stay text, and a file without a column gives NULL there. [S6]
+    values stay text, and a file without a column gives NULL there [S6]. With
+    `skip_corrupt`, rows read from a file before its damage are kept.
     """
     df = (
         spark.read.schema(STORED)
@@ -55,6 +56,7 @@ def with_payloads(
 
     Only those rows take part in the join, so no row is shuffled for a NULL key. The files
     are never broadcast; a path shared by very many rows is split by adaptive skew handling.
+    Every file under `root` that fits `pattern` is read: name the narrowest folder.
     """
     spark = df.sparkSession
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
