@@ -78,18 +78,18 @@ def audio_cell(df: DataFrame, column: str) -> Column:
     bare frames of several channels. Frames are mixed down.
     """
     kind, value = df.schema[column].dataType, F.col(column)
-    if isinstance(kind, StructType):
-        given = {f.name: (value[f.name], f.dataType) for f in kind.fields}
+    if isinstance(kind, BinaryType):
+        given = {"bytes": value}
+    elif isinstance(kind, ArrayType):
+        given = {"array": value}
     else:
-        given = {"bytes" if isinstance(kind, BinaryType) else "array": (value, kind)}
-    samples, kind = given.get("array", (None, None))
-    if isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType):
-        given["array"] = audio.downmix(samples.cast("array<array<float>>")), None
+        given = {name: value[name] for name in kind.names}
+    if "array" in given:
+        samples = df.select(given["array"]).schema[0].dataType
+        if isinstance(samples.elementType, ArrayType):
+            given["array"] = audio.downmix(given["array"].cast("array<array<float>>"))
     return F.struct(
-        *(
-            given.get(f.name, (F.lit(None), None))[0].cast(f.dataType).alias(f.name)
-            for f in AUDIO_CELL.fields
-        )
+        *(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in AUDIO_CELL.fields)
     )
 
 

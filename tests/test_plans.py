@@ -111,3 +111,34 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
         F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("n")
     )
     assert {r.language: (r.files > 2, r.n) for r in files.collect()} == {"en": (True, 39_200), "de": (False, 800)}
+
+
+def test_hot_path_is_divided(spark, tmp_path):
+    """Most rows name one file; adaptive execution splits them over tasks."""
+    for i in range(20):
+        (tmp_path / f"{i}.wav").write_bytes(bytes([i]) * 100)
+    number = F.when(F.col("id") % 3 != 0, 7).otherwise(F.col("id") % 20)
+    rows = spark.range(60_000).repartition(8).select(
+        "id",
+        number.alias("number"),
+        stand_ins.audio_cell(path=F.concat(F.lit(f"{tmp_path}/"), number, F.lit(".wav"))).alias("audio"),
+    )
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = scans.with_payloads(rows, str(tmp_path)).select("id", "number", F.col("audio.bytes").alias("b"))
+        content = F.expr("unhex(repeat(lpad(hex(number), 2, '0'), 100))")
+        wrong = out.filter(~F.col("b").eqNullSafe(content))
+        seen = out.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+        assert tuple(seen.first()) == (60_000, 60_000) and wrong.count() == 0
+        out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
