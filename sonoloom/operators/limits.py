@@ -35,7 +35,7 @@ def _lowest(keys: DataFrame, n: int) -> DataFrame:
     """
     smallest = keys.groupBy(_group(n + 1).alias("group")).agg(F.min("key").alias("key"))
     bound = smallest.agg(F.when(F.count("*") == n + 1, F.max("key"))).scalar()
-    return keys.filter(bound.isNull() | (F.col("key") <= bound))
+    return keys.filter(F.coalesce(F.col("key") <= bound, F.lit(True)))
 
 
 def _between(keys: DataFrame, n: int, groups: int) -> tuple[DataFrame, Column]:
@@ -54,8 +54,7 @@ def _between(keys: DataFrame, n: int, groups: int) -> tuple[DataFrame, Column]:
             F.min(at).alias("low"), F.when(F.count(above) == groups, F.max(above)).alias("high")
         )
     ).scalar()
-    high = bounds["high"]
-    return keys.filter(high.isNull() | (key <= high)), bounds["low"]
+    return keys.filter(F.coalesce(key <= bounds["high"], F.lit(True))), bounds["low"]
 
 
 def cut_key(
@@ -78,14 +77,20 @@ def cut_key(
         each = F.when(each >= low, each)
     tally = (
         keys.groupBy(each.alias("each"))
-        .agg(F.count("*").alias("n"), F.max("key").alias("largest"))
+        .agg(
+            F.count("*").alias("n"),
+            F.max("key").alias("largest"),
+            F.count_if(F.col("key").isNull()).alias("missing"),
+        )
         .withColumn("upto", F.sum("n").over(Window.orderBy(F.col("each").asc_nulls_first())))
     )
-    # a key shared by rows within and beyond the first n leaves "first n" undefined
     reached = F.min(F.when(F.col("upto") >= n, F.struct("each", "upto")))
+    # "first n" is undefined without a key, or with a key shared by rows within and beyond it
+    missing = F.raise_error(F.lit("the order key is NULL in some rows"))
     tied = F.raise_error(F.lit(f"the order key is not unique at row {n}"))
     return tally.agg(
-        F.when(reached["upto"] > n, tied)
+        F.when(F.sum("missing") > 0, missing)
+        .when(reached["upto"] > n, tied)
         .otherwise(F.coalesce(reached["each"], F.max("largest")))
         .alias("cut")
     )

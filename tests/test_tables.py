@@ -78,6 +78,13 @@ def test_tie_at_the_cut_is_an_error(spark):
     assert ids(limits.first_rows(df, 3, "id")) == [1, 2, 2]
 
 
+def test_missing_key_is_an_error(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,), (3,)], "id long")
+    for n in (1, 3, 10):
+        with pytest.raises(Exception, match="NULL in some rows"):
+            limits.first_rows(df, n, "id").collect()
+
+
 def test_limit_of_an_empty_table(spark):
     assert limits.first_rows(spark.range(0), 3, "id").count() == 0
 
