@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from sonoloom.llm.common import text_chunks, word_hashes, word_spans
+from sonoloom.llm.common import mixed, text_chunks, word_hashes, word_spans
 
 BUCKETS = 1 << 18
+_MARGIN = 2.0
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -24,9 +25,8 @@ def _features(column: pa.Array, buckets: int):
     for first, data, offsets in text_chunks(column):
         data = _FOLD[data]
         starts, ends, borders = word_spans(data, offsets, _LETTERS)
-        bucket = (word_hashes(data, starts, ends) % np.uint64(buckets)).astype(np.int64)
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(borders))
-        present = np.unique(text * buckets + bucket)
+        present = np.unique(text * buckets + (word_hashes(data, starts, ends) % np.uint64(buckets)).astype(np.int64))
         text = present // buckets
         yield first, present % buckets, np.searchsorted(text, np.arange(len(offsets)))
 
@@ -60,16 +60,48 @@ def _sums(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return running[borders[1:]] - running[borders[:-1]]
 
 
-def _fit(bucket, borders, extra, target, buckets, rounds=150, rate=0.3, decay=1e-4):
-    """Logistic regression by AdaGrad over all rows at once, classes weighted alike, weights shrunk each round."""
+def _one_of_copies(lists: list[np.ndarray], buckets: int, signs: int = 3, rare: float = 0.01) -> list[int]:
+    """Places of texts of which none before shares the MinHash signs of the rare words: copies tell nothing new."""
+    shown = np.bincount(np.concatenate([*lists, np.empty(0, np.int64)]), minlength=buckets)
+    keys = [mixed(np.arange(buckets, dtype=np.uint64) + np.uint64((i + 1) << 32)) for i in range(signs)]
+    seen, single = set(), []
+    for place, words in enumerate(lists):
+        few = words[shown[words] <= max(2, rare * len(lists))]
+        sign = tuple(int(few[np.argmin(k[few])]) for k in keys) if len(few) else place
+        near = [(i, j, sign[i], sign[j]) for i in range(signs) for j in range(i)] if len(few) else [sign]
+        if seen.isdisjoint(near):
+            single.append(place)
+        seen.update(near)
+    return single
+
+
+def _telling(bucket, text, target, buckets):
+    """Buckets that go with the category by more than chance would give the best of as many buckets.
+
+    The measure is the root of the likelihood ratio between the category's rate among the texts with the
+    bucket and among all; the bound for m buckets is the root of 2 ln m, times a margin.
+    """
+    total = np.bincount(bucket, minlength=buckets).astype(float)
+    inside = np.bincount(bucket[target[text] > 0], minlength=buckets).astype(float)
+    rate = min(max(target.mean() if len(target) else 0.5, 1e-9), 1 - 1e-9)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = np.nan_to_num(inside * np.log(inside / (total * rate)))
+        ratio += np.nan_to_num((total - inside) * np.log((total - inside) / (total * (1 - rate))))
+    return 2 * ratio >= _MARGIN * 2 * np.log(max(2, np.count_nonzero(total)))
+
+
+def _fit(bucket, borders, extra, target, buckets, rounds=120, rate=0.3, decay=1e-4):
+    """Logistic regression by AdaGrad over all rows at once, on the telling words; weights shrink each round."""
     text = np.repeat(np.arange(len(target)), np.diff(borders))
-    positive = max(1, int(target.sum()))
-    weight = np.where(target > 0, 0.5 / positive, 0.5 / max(1, len(target) - positive))
+    telling = _telling(bucket, text, target, buckets)
+    keep = telling[bucket]
+    bucket, text = bucket[keep], text[keep]
+    borders = np.searchsorted(text, np.arange(len(target) + 1))
     words, earlier, bias = np.zeros(buckets), np.zeros(extra.shape[1]), 0.0
     seen_w, seen_e, seen_b = np.full(buckets, 1e-8), np.full(extra.shape[1], 1e-8), 1e-8
     for _ in range(rounds):
         logit = _sums(words[bucket], borders) + extra @ earlier + bias
-        error = weight * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target)
+        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) / max(1, len(target))
         grad = np.bincount(bucket, error[text], buckets) + decay * words
         grad_e, grad_b = extra.T @ error, error.sum()
         seen_w += grad**2
@@ -133,6 +165,8 @@ def fit_chain(
     )
     chain = Chain(list(targets), buckets)
     lists = [np.asarray(x.as_py(), np.int64) for x in sample.column("bucket")]
+    single = _one_of_copies(lists, buckets)
+    lists, sample = [lists[i] for i in single], sample.take(single)
     borders = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
     flat = np.concatenate([*lists, np.empty(0, np.int64)])
     fold = np.arange(len(lists)) % folds
