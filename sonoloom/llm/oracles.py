@@ -108,8 +108,8 @@ ordered AS (
     sum(source_size) OVER () AS total
   FROM weighed WINDOW before AS (ORDER BY 3 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 factor AS (
-  SELECT min((total - caps)::BIGINT::DOUBLE / open::BIGINT::DOUBLE) AS t FROM ordered
-  WHERE cap >= (total - caps)::BIGINT::DOUBLE / open::BIGINT::DOUBLE * weight),
+  SELECT (total - caps)::BIGINT::DOUBLE / open::BIGINT::DOUBLE AS t FROM ordered
+  WHERE cap >= (total - caps)::BIGINT::DOUBLE / open::BIGINT::DOUBLE * weight ORDER BY caps LIMIT 1),
 targets AS (SELECT source, source_size, CASE WHEN cap < t * weight THEN cap::DOUBLE ELSE t * weight END AS target FROM ordered, factor),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0 END AS rate,
