@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import content_key, packed, word_list
+from sonoloom.llm.common import content_key, packed, word_list, written
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -76,7 +76,7 @@ def frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = 20, ma
         "host", "key", line_id(F.col("host"), F.col("text_line")).alias("line"),
         F.regexp_count("text_line", F.lit(r"[^\x20\x09-\x0D]+")).alias("n"),
     )
-    once = lines.groupBy("line", "key").agg(F.sum("n").alias("n_words"), F.first("host").alias("host"))
+    once = written(lines.groupBy("line", "key").agg(F.sum("n").alias("n_words"), F.first("host").alias("host")))
     totals = docs.select(F.col(host).alias("host"), key.alias("key")).distinct().groupBy("host").agg(F.count("*").alias("docs"))
     often = once.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("host")).where(F.col("n") > max_docs)
     above = often.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
