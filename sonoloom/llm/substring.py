@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import content_key, gram_hashes, packed, text_chunks, word_hashes, word_list, word_spans, written
+from sonoloom.llm.common import content_key, gram_hashes, packed, text_chunks, word_hashes, word_spans, written
 from sonoloom.llm.fm_index import FMIndex, repeated_windows
 
 _RUN = "array<struct<anchor:bigint,start:int,n:int,uses:bigint>>"
@@ -230,7 +230,7 @@ def deduplicated(docs: DataFrame, window: int = 35, gram: int = 10, **options) -
     )
     copies = docs.where("text is not null").groupBy(content_key("text").alias("c")).count().where("count > 1").select("c")
     rows = packed(docs).select(
-        "row", content_key("row.text").alias("key"), F.array_join(word_list(F.col("row.text")), " ").alias("all"),
+        "row", content_key("row.text").alias("key"), F.trim(F.regexp_replace(F.coalesce("row.text", F.lit("")), r"[\x20\x09-\x0D]+", " ")).alias("all"),
         F.regexp_count(F.coalesce("row.text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"),
     ).withColumn("all_digest", _digest(F.col("all")))
     joined = rows.join(cut, F.col("key") == F.col("k"), "left").join(copies, F.col("key") == F.col("c"), "left")
