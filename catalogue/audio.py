@@ -5,17 +5,16 @@ from pyspark.sql import functions as F
 from catalogue.stand_ins import SPEECH_SQL, audio_cell, documents, resampled_sql, speech, table
 from sonoloom.functions import audio, payload
 from sonoloom.operators import tables
-from sonoloom.sources.scans import spread
 
 STEREO_RATE = 8000
 
 
 def vectors(spark, sf_dir):
-    return spread(table(spark, sf_dir, "embeddings"), "vec_id").select("vec_id", "embedding")
+    return table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
 
 
 def _points(df, key, wave):
-    return df.select(key, F.posexplode(wave).alias("pos", "value"))
+    return df.select(key, F.posexplode_outer(wave).alias("pos", "value"))
 
 
 def _recordings(spark, sf_dir):
@@ -108,8 +107,8 @@ _PROCESSED_SQL = f"""
 WITH {SPEECH_SQL}, {resampled_sql("speech", "doc_id", "wave", "rate")},
 quantised AS (
   SELECT key, pos, CASE WHEN rate = 16000
-           THEN CAST(trunc(greatest(-1::FLOAT, least(1::FLOAT, CAST(value AS FLOAT))) * 32767::FLOAT) AS INTEGER)
-           ELSE CAST(trunc(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, value)) * 32767::DOUBLE) AS INTEGER) END AS v
+           THEN CAST(greatest(-32768, least(32767, round_even(CAST(value AS FLOAT) * 32768::DOUBLE, 0))) AS INTEGER)
+           ELSE CAST(greatest(-32768, least(32767, round_even(value * 32768::DOUBLE, 0))) AS INTEGER) END AS v
   FROM points),
 packed AS (
   SELECT key, string_agg(lower(printf('%02X%02X', (v + 65536) % 256, (v + 65536) // 256 % 256)), '' ORDER BY pos) AS pcm
@@ -161,7 +160,8 @@ SELECT vec_id, CAST(unnest(range(len(wave))) AS INTEGER) AS pos, unnest(wave) AS
         ),
         f"""WITH {_READ_SQL}, {_MONO_SQL.format(s="samples", source="decoded")},
 {resampled_sql("mono", "vec_id", "wave", str(STEREO_RATE))}
-SELECT key AS vec_id, CAST(pos AS INTEGER) AS pos, value FROM points""",
+SELECT key AS vec_id, CAST(pos AS INTEGER) AS pos, value FROM points
+UNION ALL SELECT vec_id, NULL, NULL FROM embeddings WHERE vec_id % 10 = 9""",
     ),
     "pcm16_quantise": (
         lambda spark, sf_dir: _points(
@@ -192,6 +192,7 @@ SELECT doc_id, len(v) AS n, CAST(list_sum(v) AS BIGINT) AS total, list_min(v) AS
             tables.cast_audio_rate(speech(spark, sf_dir)), "doc_id", F.col("audio.array")
         ),
         f"WITH {SPEECH_SQL}, {resampled_sql('speech', 'doc_id', 'wave', 'rate')}"
-        " SELECT key AS doc_id, CAST(pos AS INTEGER) AS pos, value FROM points",
+        " SELECT key AS doc_id, CAST(pos AS INTEGER) AS pos, value FROM points"
+        " UNION ALL SELECT doc_id, NULL, NULL FROM speech WHERE wave IS NULL",
     ),
 }

@@ -7,7 +7,6 @@ for short waveforms. Every row of both is used.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sonoloom.schema import AUDIO_CELL
-from sonoloom.sources.scans import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,21 +21,26 @@ def split_of(key: str = "doc_id"):
 SPLIT_SQL = """CASE doc_id // 20 % 10 WHEN 0 THEN 'test' WHEN 1 THEN 'validation' ELSE 'train' END"""
 
 
+#: Ids of rows that are added to the documents start here.
+ADDED = 1_000_000_000
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over the cores where one file would make one task."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    """The documents."""
+    return table(spark, sf_dir, "documents")
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with spoken annotations; some hold nothing else, some only digits."""
+    """Documents with spoken annotations, and more rows that hold nothing else or only digits."""
     doc, turn = F.col("doc_id"), F.floor(F.col("doc_id") / 20)
-    transcript = (
-        F.when(turn % 7 == 3, "{only}")
-        .when(turn % 11 == 5, "12 34")
-        .when(doc % 3 == 0, F.concat("text", F.lit(" {side} <pause> --</pause>")))
-        .otherwise(F.col("text"))
+    transcript = F.when(doc >= ADDED, F.col("text")).when(
+        doc % 3 == 0, F.concat("text", F.lit(" {side} <pause> --</pause>"))
     )
-    return documents(spark, sf_dir).select(
+    transcript = transcript.otherwise(F.col("text"))
+    rows = documents(spark, sf_dir)
+    bare = F.when(turn % 7 == 3, "{only}").when(turn % 11 == 5, "12 34")
+    added = rows.withColumns({"text": bare, "doc_id": doc + ADDED}).where("text is not null")
+    return rows.union(added).select(
         "doc_id",
         transcript.alias("transcript"),
         F.col("lang").alias("state"),
@@ -47,14 +51,14 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ANNOTATED_SQL = f"""
+spoken AS (
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' {{side}} <pause> --</pause>' ELSE text END AS transcript,
+         lang, source FROM documents
+  UNION ALL
+  SELECT doc_id + {ADDED}, CASE WHEN doc_id // 20 % 7 = 3 THEN '{{only}}' ELSE '12 34' END, lang, source FROM documents
+  WHERE doc_id // 20 % 7 = 3 OR doc_id // 20 % 11 = 5),
 annotated AS (
-  SELECT doc_id,
-         CASE WHEN doc_id // 20 % 7 = 3 THEN '{{only}}'
-              WHEN doc_id // 20 % 11 = 5 THEN '12 34'
-              WHEN doc_id % 3 = 0 THEN text || ' {{side}} <pause> --</pause>'
-              ELSE text END AS transcript,
-         lang AS state, lang AS language, source AS corpus, {SPLIT_SQL} AS split
-  FROM documents)"""
+  SELECT doc_id, transcript, lang AS state, lang AS language, source AS corpus, {SPLIT_SQL} AS split FROM spoken)"""
 
 
 def audio_cell(**fields):

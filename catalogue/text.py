@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from catalogue.stand_ins import ANNOTATED_SQL, annotated, documents, table
+from catalogue.stand_ins import ADDED, ANNOTATED_SQL, annotated, documents, table
 from sonoloom import fixed_values as V
 from sonoloom.functions import text as tx
 from sonoloom.operators import tables
-from sonoloom.sources.scans import spread
 
 # ---- the same steps as SQL text, for DuckDB ----
 
@@ -51,7 +50,7 @@ def sql_clean(x: str, punct: bool = False) -> str:
 
 
 def pages(spark, sf_dir):
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 # letters with accents, and the same as a letter with a combining mark
@@ -104,7 +103,7 @@ _ODD_SQL = "chr(9) || chr(12288) || chr(28) || chr(133) || chr(8232) || ' '"
 
 
 def numbered(spark, sf_dir):
-    """Documents of which most are replaced by texts of digits in various scripts."""
+    """The documents, and more rows with texts of digits in various scripts."""
     doc = F.col("doc_id")
     text = (
         F.when(doc % 6 == 1, F.col("n_chars").cast("string"))
@@ -112,19 +111,22 @@ def numbered(spark, sf_dir):
         .when(doc % 6 == 3, F.concat(doc.cast("string"), F.lit("²③")))
         .when(doc % 6 == 4, F.lit("12\t3"))
         .when(doc % 6 == 5, F.lit(" "))
-        .otherwise(F.col("text"))
     )
-    return documents(spark, sf_dir).select("doc_id", text.alias("text"))
+    own = F.struct("doc_id", "text")
+    added = F.when(text.isNotNull(), F.struct((doc + ADDED).alias("doc_id"), text.alias("text")))
+    return documents(spark, sf_dir).select(F.inline(F.array_compact(F.array(own, added))))
 
 
-NUMBERED_SQL = """
+NUMBERED_SQL = f"""
 numbered AS (
-  SELECT doc_id, CASE doc_id % 6 WHEN 1 THEN CAST(n_chars AS VARCHAR)
+  SELECT doc_id, text FROM documents
+  UNION ALL
+  SELECT doc_id + {ADDED}, CASE doc_id % 6 WHEN 1 THEN CAST(n_chars AS VARCHAR)
                                  WHEN 2 THEN '१२ ' || doc_id
                                  WHEN 3 THEN doc_id || '²③'
                                  WHEN 4 THEN '12' || chr(9) || '3'
-                                 WHEN 5 THEN ' ' ELSE text END AS text
-  FROM documents)"""
+                                 WHEN 5 THEN ' ' END
+  FROM documents WHERE doc_id % 6 > 0)"""
 
 
 def _over(source, key, column, function, name="text"):

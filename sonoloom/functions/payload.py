@@ -6,6 +6,7 @@ one batch. A payload that cannot be read gives NULL (or the empty fallback), nev
 
 import io
 import logging
+import struct
 import wave
 
 import numpy as np
@@ -15,10 +16,17 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
 from sonoloom import fixed_values as V
-from sonoloom.schema import DECODED_AUDIO, PROCESSED_AUDIO
+from sonoloom.schema import AUDIO_CELL, DECODED_AUDIO, PROCESSED_AUDIO
 
 _LOG = logging.getLogger(__name__)
 
+# Sample kinds of the WAV format, and the widths in bytes that are read.
+_PCM, _FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
+_READABLE = {(_PCM, 1), (_PCM, 2), (_PCM, 3), (_PCM, 4), (_FLOAT, 4), (_FLOAT, 8)}
+
+#: A damaged rate can ask for any length; more samples than this (4.6 hours at 16 kHz) are not made.
+_MOST_SAMPLES = 1 << 28
+
 
 def _waves(column: pa.Array) -> list[np.ndarray | None]:
     """The float32 arrays of a list column, without a Python object per sample."""
@@ -28,11 +36,36 @@ def _waves(column: pa.Array) -> list[np.ndarray | None]:
     ]
 
 
+def _wav_parts(payload: bytes) -> tuple[int, int, int, int, bytes]:
+    """Sample kind, channels, rate, bytes a sample and the whole samples of a RIFF file.
+
+    Sizes in chunk headers are taken as far as there are bytes: writers of streams leave them open.
+    """
+    if payload[:4] != b"RIFF" or payload[8:12] != b"WAVE":
+        raise ValueError("no RIFF file")
+    at, form = 12, None
+    while at + 8 <= len(payload):
+        name, size = payload[at : at + 4], int.from_bytes(payload[at + 4 : at + 8], "little")
+        body = payload[at + 8 : at + 8 + size]
+        if name == b"fmt ":
+            kind, channels, rate, _, _, bits = struct.unpack_from("<HHIIHH", body)
+            if kind == _EXTENSIBLE:
+                kind = int.from_bytes(body[24:26], "little")
+            form = kind, channels, rate, bits // 8
+        elif name == b"data" and form:
+            kind, channels, rate, width = form
+            if channels < 1 or (kind, width) not in _READABLE:
+                raise ValueError(f"samples of kind {kind} with {width} bytes")
+            return kind, channels, rate, width, body[: len(body) // (width * channels) * width * channels]
+        at += 8 + size + size % 2
+    raise ValueError("no samples")
+
+
 def _read_wav(payload: bytes) -> tuple[np.ndarray, int, int]:
-    """Interleaved float32 samples in [-1, 1), channel count, rate."""
-    with wave.open(io.BytesIO(payload)) as source:
-        width, channels, rate = source.getsampwidth(), source.getnchannels(), source.getframerate()
-        raw = source.readframes(source.getnframes())
+    """Interleaved float32 samples, in [-1, 1) if they are integers, channel count, rate."""
+    kind, channels, rate, width, raw = _wav_parts(payload)
+    if kind == _FLOAT:
+        return np.frombuffer(raw, f"<f{width}").astype(np.float32), channels, rate
     if width == 1:  # the one unsigned width
         values = np.frombuffer(raw, np.uint8).astype(np.int16) - 128
     elif width == 3:
@@ -58,8 +91,6 @@ def _mono(samples: np.ndarray, channels: int) -> np.ndarray:
     if channels == 1:
         return samples
     frames = samples[: samples.size // channels * channels].reshape(-1, channels)
-    if channels > 7:  # numpy adds eight and more in another order
-        return frames.mean(axis=1)
     total = frames[:, 0].copy()  # adding whole channels is far faster than a mean per frame
     for c in range(1, channels):
         total += frames[:, c]
@@ -73,6 +104,8 @@ def _at_rate(mono: np.ndarray, rate: int, target: int) -> np.ndarray:
     if mono.size == 0 or rate <= 0:
         raise ValueError("nothing to resample")
     last, count = mono.size - 1, int(mono.size / rate * target)
+    if count > _MOST_SAMPLES:
+        raise ValueError(f"{count} samples at the target rate")
     position = np.arange(count) * (last / (count - 1) if count > 1 else 0.0)
     left = position.astype(np.int64)
     samples = mono.astype(np.float64)
@@ -84,7 +117,9 @@ def _at_rate(mono: np.ndarray, rate: int, target: int) -> np.ndarray:
 
 
 def _pcm16(mono: np.ndarray) -> np.ndarray:
-    return (np.clip(np.nan_to_num(mono, nan=0.0), -1.0, 1.0) * V.PCM16_WRITE_SCALE).astype(np.int16)
+    """Values to store: the inverse of reading, so PCM16 that is only decoded comes back bit for bit."""
+    scaled = np.rint(np.nan_to_num(mono, nan=0.0) * mono.dtype.type(V.PCM16_READ_SCALE))
+    return np.clip(scaled, -V.PCM16_READ_SCALE, V.PCM16_READ_SCALE - 1).astype(np.int16)
 
 
 def _each(payloads: pa.Array, read) -> list:
@@ -155,8 +190,10 @@ def resample(samples: Column, rate: Column, target: int = V.TARGET_RATE) -> Colu
     def run(waves: pa.Array, rates: pa.Array) -> pa.Array:
         rows = []
         for mono, r in zip(_waves(waves), rates.to_pylist()):
-            missing = mono is None or r is None or r <= 0 or (mono.size == 0 and r != target)
-            rows.append(None if missing else _at_rate(mono, r, target).astype(np.float64))
+            try:
+                rows.append(_at_rate(mono, r, target).astype(np.float64))
+            except Exception:  # no samples, no usable rate: the row goes on without audio
+                rows.append(None)
         return pa.array(rows, pa.list_(pa.float64()))
 
     return run(samples, rate)
@@ -187,9 +224,9 @@ def process(cell: Column, target: int = V.TARGET_RATE) -> Column:
                 continue
             try:
                 mono = _at_rate(_mono(samples, channels), rate, target)
-            except ValueError:  # nothing to resample, or no usable rate
-                continue
-            audio[i], sizes[i] = _write_wav(_pcm16(mono), target), mono.size
+                audio[i], sizes[i] = _write_wav(_pcm16(mono), target), mono.size
+            except Exception as error:  # as with unreadable payloads, whatever went wrong
+                _LOG.info("audio that cannot be processed: %s", error)
         return pa.StructArray.from_arrays(
             [pa.array(audio, pa.binary()), pa.array(sizes, pa.int64())],
             names=PROCESSED_AUDIO.names,
@@ -198,6 +235,46 @@ def process(cell: Column, target: int = V.TARGET_RATE) -> Column:
     return run(cell)
 
 
+def at_one_rate(cell: Column, target: int = V.TARGET_RATE) -> Column:
+    """An audio cell of any form -> a cell with mono samples at the target rate. [A12]
+
+    Samples without a rate are at the target already. A cell with a path alone, or with bytes that
+    cannot be read, stays as it is.
+    """
+    kind = T.StructType(
+        [T.StructField("array", T.ArrayType(T.DoubleType())), *(f for f in AUDIO_CELL.fields if f.name != "array")]
+    )
+
+    @F.arrow_udf(kind)
+    def run(cells: pa.Array) -> pa.Array:
+        arrays, rates, payloads, paths = (pc.struct_field(cells, f.name) for f in AUDIO_CELL.fields)
+        sampled = pc.and_(arrays.is_valid(), pc.or_(rates.is_valid(), payloads.is_null()))
+        encoded = _each(pc.if_else(sampled, pa.scalar(None, payloads.type), payloads), _read_wav)
+        waves = []
+        for samples, rate, read, own in zip(_waves(arrays), rates.to_pylist(), encoded, sampled.to_pylist()):
+            try:
+                if read is not None:
+                    waves.append(_at_rate(_mono(*read[:2]), read[2], target).astype(np.float64))
+                elif own:
+                    waves.append(_at_rate(samples, target if rate is None else rate, target).astype(np.float64))
+                else:
+                    waves.append(None)
+            except Exception:
+                waves.append(None)
+        made = pa.array(waves, pa.list_(pa.float64()))
+        return pa.StructArray.from_arrays(
+            [
+                made,
+                pc.if_else(made.is_valid(), pa.scalar(target, pa.int32()), pa.scalar(None, pa.int32())),
+                pc.if_else(made.is_valid(), pa.scalar(None, payloads.type), payloads),
+                paths,
+            ],
+            names=kind.names,
+        )
+
+    return run(cell)
+
+
 @F.arrow_udf(T.ArrayType(T.ByteType()))
 def bytes_to_int8(payload: pa.Array) -> pa.Array:
     """Bytes as signed 8-bit values, two's complement. [A9]"""

@@ -125,11 +125,18 @@ def first_rows(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> D
 def first_rows_per_split(
     df: DataFrame,
     n: int | None,
-    splits: Sequence[str],
+    splits: Sequence[str] | None,
     order_by: str | Sequence[str],
     split_column: str = "split",
 ) -> DataFrame:
-    """The rows of the named splits, of each the first `n`; 0 or None keeps all. [L1]"""
+    """The rows of the named splits, or of all, of each the first `n`; 0 or None keeps all. [L1]
+
+    With a limit and no names, the names of the splits are read first.
+    """
+    if splits is None:
+        if not n:
+            return df
+        splits = [name for (name,) in df.select(split_column).distinct().dropna().collect()]
     return df.filter(within_first(df, n, order_by, splits, split_column))
 
 

@@ -101,16 +101,8 @@ def process_audio(df: DataFrame, column: str = "audio", target: int = V.TARGET_R
 
 
 def cast_audio_rate(df: DataFrame, column: str = "audio", target: int = V.TARGET_RATE) -> DataFrame:
-    """Bring the samples of an audio cell column to one rate. [A12]"""
-    cell = audio_cell(df, column)
-    samples = payload.resample(cell["array"], cell["sampling_rate"], target)
-    return df.withColumn(
-        column,
-        F.struct(
-            samples.alias("array"),
-            F.when(samples.isNotNull(), target).alias("sampling_rate"),
-        ),
-    )
+    """Bring an audio column of any form to mono samples of one rate; cells without samples stay. [A12]"""
+    return df.withColumn(column, payload.at_one_rate(audio_cell(df, column), target))
 
 
 def map_batches(

@@ -19,7 +19,7 @@ def ingest(
     corpus: str | Column,
     language: str | Column,
     order_by: str | Sequence[str],
-    splits: Sequence[str] = V.SPLITS,
+    splits: Sequence[str] | None = None,
     text_column: str = "transcription",
     audio_column: str = "audio",
     max_samples: int | None = None,
@@ -38,7 +38,7 @@ def ingest_transcripts(
     order_by: str | Sequence[str],
     language: str | Column = V.TRANSCRIPT_LANGUAGE,
     state: str | None = V.TRANSCRIPT_STATE,
-    splits: Sequence[str] = V.SPLITS,
+    splits: Sequence[str] | None = None,
     text_column: str = "transcript",
     audio_column: str = "audio",
     state_column: str = "state",
@@ -79,7 +79,7 @@ def prepare_corpus(prepared: DataFrame, root: str, version: int = 0, **sink_opti
     return stored_report(prepared.sparkSession, root, version)
 
 
-def stored_report(spark, root: str, version: int = 0) -> DataFrame:
-    """Statistics lines and TOTAL of a stored corpus; unreadable files are passed over. [C4]"""
-    stored = scans.read_corpus(spark, root, skip_corrupt=True, version=version)
+def stored_report(spark, root: str, version: int = 0, skip_corrupt: bool = False) -> DataFrame:
+    """Statistics lines and TOTAL of a stored corpus; `skip_corrupt` passes over unreadable files. [C4]"""
+    stored = scans.read_corpus(spark, root, skip_corrupt=skip_corrupt, version=version)
     return statistics.statistics_report(stored)

@@ -44,9 +44,14 @@ def read_corpus(
     return df
 
 
+def _store(path):
+    """Scheme and authority of a path, if it names them; the forms of `file:` are one."""
+    return F.regexp_replace(F.regexp_extract(path, r"^([A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?)", 1), r"^file:.*", "file:")
+
+
 def _plain(path):
-    """A local path with or without its scheme compares equal."""
-    return F.regexp_replace(path, r"^file:/+", "/")
+    """The path within its file system."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/*", "/")
 
 
 def with_payloads(
@@ -55,34 +60,27 @@ def with_payloads(
     """Fill `bytes` of audio cells that have only a path from the files under `root`. [S3]
 
     Only those rows take part in the join, so no row is shuffled for a NULL key. The files
-    are never broadcast; a path shared by very many rows is split by adaptive skew handling.
+    are never broadcast; a path that names no file system is one of that of `root`; a path shared by very many rows is split by adaptive skew handling.
     Every file under `root` that fits `pattern` is read: name the narrowest folder.
     """
     spark = df.sparkSession
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(root).select(_plain(F.col("path")).alias("_path"), F.col("content"))
+    files = reader.load(root).select(
+        _plain(F.col("path")).alias("_file"), _store(F.col("path")).alias("_store"), F.col("content")
+    )
 
     cell = F.col(column)
     by_path = cell["bytes"].isNull() & (F.length(cell["path"]) > 0)
     if "array" in df.schema[column].dataType.names:  # samples with a rate need no file
         by_path = by_path & (cell["array"].isNull() | cell["sampling_rate"].isNull())
+    same_file = (F.col("_path") == F.col("_file")) & ((F.col("_named") == "") | (F.col("_named") == F.col("_store")))
     fetched = (
         df.filter(by_path)
-        .withColumn("_path", _plain(cell["path"]))
-        .join(files.hint("merge"), "_path", "left")
+        .withColumns({"_path": _plain(cell["path"]), "_named": _store(cell["path"])})
+        .join(files.hint("merge"), same_file, "left")
         .withColumn(column, cell.withField("bytes", F.col("content")))
-        .drop("_path", "content")
+        .drop("_path", "_named", "_file", "_store", "content")
     )
     return df.filter(~F.coalesce(by_path, F.lit(False))).unionByName(fetched)
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer tasks than cores, hashed over all cores; any other is left alone.
-
-    For small or single-row-group files ahead of heavy row work. A large table has more
-    scan tasks than cores and is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -83,12 +83,6 @@ def test_payload_files_are_never_broadcast(spark):
     assert "SortMergeJoin" in text and "BroadcastExchange" not in text
 
 
-def test_large_scans_are_not_spread(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert scans.spread(wide, "id") is wide
-    assert scans.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 8
-
-
 def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     """One language holds nearly all rows; rebalancing divides it into several files."""
     root = str(tmp_path / "hot")

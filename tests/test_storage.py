@@ -141,3 +141,12 @@ def test_scratch_folder_follows_the_session():
     assert sink.scratch_folder(session(None, "local[2]"))
     with pytest.raises(ValueError):
         sink.scratch_folder(session(None, "yarn"))
+
+
+def test_paths_match_with_and_without_their_file_system(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"content")
+    cells = [(None, p) for p in (f"{tmp_path}/a.wav", f"file:{tmp_path}/a.wav", f"file://{tmp_path}/a.wav", f"hdfs://nn:1{tmp_path}/a.wav")]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "i int, audio struct<bytes:binary,path:string>")
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        rows = scans.with_payloads(df, root).sort("i").collect()
+        assert [r.audio.bytes and bytes(r.audio.bytes) for r in rows] == [b"content"] * 3 + [None]

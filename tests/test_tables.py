@@ -187,6 +187,7 @@ def test_ingest_transcripts(spark):
     out = ingest.ingest_transcripts(_raw(spark), "speech", "id")
     assert out.columns == TARGET.names
     assert _seen(out) == [
+        ("other", "Six", 12, "speech", "gom_Deva"),
         ("test", "१२ 3", 12, "speech", "gom_Deva"),
         ("train", "One", 8, "speech", "gom_Deva"),
         ("train", "Two!", 0, "speech", "gom_Deva"),
@@ -195,16 +196,17 @@ def test_ingest_transcripts(spark):
 
 def test_limit_comes_before_the_empty_text_filter(spark):
     out = ingest.ingest_transcripts(_raw(spark), "speech", "id", max_samples=2)
-    assert [(s, t) for s, t, *_ in _seen(out)] == [("test", "१२ 3"), ("train", "One")]
+    assert [(s, t) for s, t, *_ in _seen(out)] == [("other", "Six"), ("test", "१२ 3"), ("train", "One")]
 
 
 def test_ingest_generic(spark):
     out = ingest.ingest(_raw(spark), "c", "eng_Latn", "id", text_column="transcript")
     assert _seen(out) == [
+        ("other", "six", 12, "c", "eng_Latn"),
         ("train", "one a", 8, "c", "eng_Latn"),
         ("train", "only", 8, "c", "eng_Latn"),
         ("train", "three", 8, "c", "eng_Latn"),
         ("train", "two", 0, "c", "eng_Latn"),
     ]
-    summary = ingest.ingest_summary(out).first()
+    summary = ingest.ingest_summary(out).where("split = 'train'").first()
     assert (summary.num_samples, summary.duration_hours) == (4, 24 / 16000 / 3600)
