@@ -13,7 +13,9 @@ from pyspark.sql.types import ArrayType, DoubleType
 from sonoloom.llm.common import mixed, text_chunks, word_hashes, word_spans
 
 BUCKETS = 1 << 18
-_MARGIN = 2.0
+_MARGIN = 1.0
+#: A threshold that no probability reaches.
+_NEVER = 2.0
 _LETTERS = np.zeros(256, bool)
 _LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -118,7 +120,7 @@ def _threshold(probability: np.ndarray, target: np.ndarray) -> float:
     order = np.argsort(-probability, kind="stable")
     p, hits = probability[order], np.cumsum(target[order])
     if not len(p) or not hits[-1]:
-        return 1.0
+        return _NEVER
     last = np.append(p[1:] < p[:-1], True)  # equal probabilities fall on one side
     f1 = np.where(last, 2 * hits / (np.arange(1, len(p) + 1) + hits[-1]), -1)
     best = int(np.argmax(f1))
@@ -126,7 +128,7 @@ def _threshold(probability: np.ndarray, target: np.ndarray) -> float:
 
 
 def fit_chain(
-    docs: DataFrame, labels: DataFrame, targets: dict[str, Column], max_rows: int = 6000, folds: int = 3,
+    docs: DataFrame, labels: DataFrame, targets: dict[str, Column], max_rows: int = 15_000, folds: int = 3,
     buckets: int = BUCKETS,
 ) -> Chain:
     """Train the chain on a sample of at most `max_rows` labelled rows.
@@ -164,9 +166,9 @@ def fit_chain(
         .toArrow()
     )
     chain = Chain(list(targets), buckets)
-    lists = [np.asarray(x.as_py(), np.int64) for x in sample.column("bucket")]
+    lists = [x.values.to_numpy().astype(np.int64) for x in sample.column("bucket")]
     single = _one_of_copies(lists, buckets)
-    lists, sample = [lists[i] for i in single], sample.take(single)
+    lists, sample = [lists[i] for i in single], sample.take(pa.array(single, pa.int64()))
     borders = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
     flat = np.concatenate([*lists, np.empty(0, np.int64)])
     fold = np.arange(len(lists)) % folds
@@ -183,7 +185,8 @@ def fit_chain(
         chain.words.append(words.astype(np.float32))
         chain.earlier.append(earlier)
         chain.bias.append(float(bias))
-        chain.thresholds.append(_threshold(1 / (1 + np.exp(-held)), target))
+        tells = bool(words.any())  # else all texts have one probability, and none is called out
+        chain.thresholds.append(_threshold(1 / (1 + np.exp(-held)), target) if tells else _NEVER)
         logits = np.column_stack([logits, held])
     return chain
 

@@ -226,7 +226,7 @@ def test_main_text_of_whole_table(spark):
     want = {}
     for r in pq.read_table(f"{SF_DIR}/pages.parquet").to_pylist():
         body = re.search(r"(?s)<article>(.*?)(</article>|$)", r["html"])[1]
-        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " " if False else "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in re.split(r"</?(?:p|h1)>", body)]
         want[r["page_id"]] = "\n".join(b for b in blocks if b)
     got = {r.page_id: r.text for r in queries.op10_html_extraction(spark, SF_DIR).collect()}
     assert got == want
@@ -247,15 +247,15 @@ def test_template_lines_go_and_slots_stay():
 
 
 def test_toxicity_finds_held_out_words(spark):
-    """Trained on half of the labels, the chain finds nine tenths of the other half and few others."""
+    """Trained on half of the labels, the chain finds most of the other half and few others."""
     from sonoloom.llm import toxicity
 
     docs, labels = queries.table(spark, "/root/testdata/sf0.1", "documents"), queries.table(spark, "/root/testdata/sf0.1", "labels")
     chain = toxicity.fit_chain(docs, labels.where("doc_id % 2 = 0"), queries.categories())
     held = toxicity.scored(docs, chain).join(labels.where("doc_id % 2 = 1").select("doc_id", F.col("toxic").alias("y")), "doc_id").collect()
     hits = sum(r.toxic and r.y for r in held)
-    assert hits >= 0.8 * sum(r.y for r in held)
-    assert sum(r.toxic and not r.y for r in held) <= 0.03 * len(held)
+    assert hits >= 0.75 * sum(r.y for r in held)
+    assert sum(r.toxic and not r.y for r in held) <= 0.01 * len(held)
     assert len(chain.earlier[1]) == 1  # the second model has a weight for the first one's log-odds
 
 
