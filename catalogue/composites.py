@@ -10,18 +10,25 @@ from sonoloom.sources import sink
 _COLUMNS = ("text", "audio_size", "corpus", "split", "language")
 
 
-def generic(spark, sf_dir):
+#: Rows of each split that the limited jobs take, before texts are cleaned and empty ones dropped.
+_FIRST = 60
+
+
+def generic(spark, sf_dir, first=None):
     return ingest.ingest(
         speech(spark, sf_dir),
         corpus=F.col("corpus"),
         language=F.col("language"),
         order_by="doc_id",
         text_column="transcript",
+        max_samples=first,
     )
 
 
-def transcripts(spark, sf_dir):
-    return ingest.ingest_transcripts(speech(spark, sf_dir), corpus="speech", order_by="doc_id", state="en")
+def transcripts(spark, sf_dir, first=None):
+    return ingest.ingest_transcripts(
+        speech(spark, sf_dir), corpus="speech", order_by="doc_id", state="en", max_samples=first
+    )
 
 
 def flagship(spark, sf_dir):
@@ -30,29 +37,46 @@ def flagship(spark, sf_dir):
     There are three partitions, so a task writes three files at most and the audio is not
     shuffled for the sink.
     """
-    return ingest.prepare_corpus(
-        transcripts(spark, sf_dir), sink.scratch_folder(spark), dictionary=False, rebalance=False
-    )
+    return ingest.prepare_corpus(transcripts(spark, sf_dir), sink.scratch_folder(spark), dictionary=False)
 
 
-_GENERIC_SQL = f"""
+def _generic_sql(rows: str) -> str:
+    return f"""
 WITH {SPEECH_SQL},
 prepared AS (
   SELECT coalesce({sql_normal("transcript", digits=True)}, '') AS text, audio_size, corpus, split, language
-  FROM sized)
+  FROM {rows})
 SELECT * FROM prepared WHERE text <> ''"""
 
-_TRANSCRIPTS_SQL = f"""
+
+def _transcripts_sql(rows: str) -> str:
+    return f"""
 WITH {SPEECH_SQL},
 prepared AS (
   SELECT {sql_clean("transcript")} AS text, audio_size, 'speech' AS corpus, split, 'gom_Deva' AS language
-  FROM sized WHERE state = 'en'),
+  FROM {rows}),
 kept AS (SELECT * FROM prepared WHERE text <> '')"""
 
+
+def _first_sql(rows: str) -> str:
+    return f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY split ORDER BY doc_id) <= {_FIRST})"
+
+
+_IN_STATE = "(SELECT * FROM sized WHERE state = 'en')"
+_TRANSCRIPTS_SQL = _transcripts_sql(_IN_STATE)
+
 _COUNTS = "count(*) AS num_samples, sum(audio_size) / 16000 / 3600 AS duration_hours"
 
 QUERIES = {
-    "ingest_generic": (lambda spark, sf_dir: generic(spark, sf_dir).select(*_COLUMNS), _GENERIC_SQL),
+    "ingest_generic": (lambda spark, sf_dir: generic(spark, sf_dir).select(*_COLUMNS), _generic_sql("sized")),
+    "ingest_generic_limited": (
+        lambda spark, sf_dir: generic(spark, sf_dir, _FIRST).select(*_COLUMNS),
+        _generic_sql(_first_sql("sized")),
+    ),
+    "ingest_transcripts_limited": (
+        lambda spark, sf_dir: transcripts(spark, sf_dir, _FIRST).select(*_COLUMNS),
+        f"{_transcripts_sql(_first_sql(_IN_STATE))} SELECT * FROM kept",
+    ),
     "ingest_transcripts": (
         lambda spark, sf_dir: transcripts(spark, sf_dir).select(*_COLUMNS),
         f"{_TRANSCRIPTS_SQL} SELECT * FROM kept",

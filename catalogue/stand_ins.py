@@ -71,12 +71,12 @@ def audio_cell(**fields):
 def speech(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated documents, each with a waveform, at three rates; some have no audio."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    count = vectors.agg(F.max("vec_id") + 1).scalar()
+    count = vectors.agg(F.max("vec_id") + 1).first()[0]  # a subquery here would be nested in those of limits
     turn = F.floor(F.col("doc_id") / 20)
     rate = F.element_at(F.array(F.lit(8000), F.lit(16000), F.lit(48000)), (F.col("doc_id") % 3 + 1).cast("int"))
     return (
         annotated(spark, sf_dir)
-        .withColumn("vec_id", F.col("doc_id") % count)
+        .withColumn("vec_id", F.col("doc_id") % F.lit(count))
         .join(vectors, "vec_id", "left")
         .withColumn(
             "audio", audio_cell(array=F.when(turn % 9 != 4, F.col("embedding")), sampling_rate=rate)

@@ -1,7 +1,5 @@
 """The stored corpus: written from the documents, read back, counted."""
 
-from functools import cache
-
 from pyspark.sql import functions as F
 
 from catalogue.stand_ins import SPLIT_SQL, audio_cell, split_of, table
@@ -34,16 +32,20 @@ prepared AS (
          lang AS language FROM documents)"""
 
 
-@cache
-def _written_once(application: str, spark, sf_dir: str) -> str:
+def _landed(spark, sf_dir) -> str:
+    """A corpus that the query writes for itself."""
     root = sink.scratch_folder(spark)
     sink.write_corpus(_prepared(spark, sf_dir), root)
     return root
 
 
 def _stored(spark, sf_dir, **partition):
-    root = _written_once(spark.sparkContext.applicationId, spark, sf_dir)
-    return scans.read_corpus(spark, root, **partition)
+    return scans.read_corpus(spark, _landed(spark, sf_dir), **partition)
+
+
+def _union_splits(spark, sf_dir):
+    root = _landed(spark, sf_dir)
+    return _rows(tables.union_splits({s: scans.read_corpus(spark, root, split=s).drop("split") for s in SPLITS}))
 
 
 def _rows(df):
@@ -127,9 +129,7 @@ QUERIES = {
         f"WITH {_PREPARED_SQL} SELECT * FROM prepared WHERE split = 'test'",
     ),
     "union_splits": (
-        lambda spark, sf_dir: _rows(
-            tables.union_splits({s: _stored(spark, sf_dir, split=s).drop("split") for s in SPLITS})
-        ),
+        _union_splits,
         f"WITH {_PREPARED_SQL} SELECT * FROM prepared",
     ),
     "audio_by_path": (

@@ -8,10 +8,12 @@ import io
 import logging
 import struct
 import wave
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +29,9 @@ _READABLE = {(_PCM, 1), (_PCM, 2), (_PCM, 3), (_PCM, 4), (_FLOAT, 4), (_FLOAT, 8
 #: A damaged rate can ask for any length; more samples than this (4.6 hours at 16 kHz) are not made.
 _MOST_SAMPLES = 1 << 28
 
+#: Processed audio is passed on in batches of about this size.
+_BATCH_BYTES = 1 << 26
+
 
 def _waves(column: pa.Array) -> list[np.ndarray | None]:
     """The float32 arrays of a list column, without a Python object per sample."""
@@ -199,38 +204,76 @@ def resample(samples: Column, rate: Column, target: int = V.TARGET_RATE) -> Colu
     return run(samples, rate)
 
 
-def process(cell: Column, target: int = V.TARGET_RATE) -> Column:
+def _file_uri(path: str, root: str | None) -> str:
+    """A path as a URI or absolute path; `root` is put before relative ones."""
+    if path.startswith("file:"):
+        return "/" + path.removeprefix("file:").lstrip("/")
+    if root and not path.startswith("/") and "://" not in path:
+        return _file_uri(f"{root.rstrip('/')}/{path}", None)
+    return path
+
+
+def _fetch(path: str, root: str | None) -> bytes:
+    """The content of the file that a cell names. A store that fails raises OSError."""
+    store, name = fs.FileSystem.from_uri(_file_uri(path, root))
+    with store.open_input_stream(name) as stream:
+        return stream.read()
+
+
+def _samples(cell: dict, samples: np.ndarray | None, target: int, root: str | None):
+    """(samples, channels, rate) of the form that counts, see `functions.audio.audio_form`; None for none."""
+    if samples is not None and cell["sampling_rate"] is not None:
+        return samples, 1, cell["sampling_rate"]
+    if cell["bytes"] is not None:
+        return _read_wav(cell["bytes"])
+    if cell["path"]:
+        return _read_wav(_fetch(cell["path"], root))
+    return None if samples is None else (samples, 1, target)
+
+
+def process(cell: Column, target: int = V.TARGET_RATE, root: str | None = None) -> Column:
     """An audio cell -> (WAV bytes at the target rate, size in samples). [A1-A5, A7, A8]
 
-    A row that fails is kept, with empty bytes and size 0. A cell that has only a path
-    must be given its bytes first, see `sonoloom.sources.scans.with_payloads`.
+    A cell that has only a path is read from there, one file at a time, when its row is processed; the
+    path names its file system, or is local, or is below `root` if it is relative. A row that fails is
+    kept, with empty bytes and size 0, and so is one whose file does not exist. A store that cannot be
+    reached is an error, so that Spark tries again. Results leave in batches of bounded size.
     """
 
     @F.arrow_udf(PROCESSED_AUDIO)
-    def run(cells: pa.Array) -> pa.Array:
-        arrays, rates, payloads = (
-            pc.struct_field(cells, name) for name in ("array", "sampling_rate", "bytes")
-        )
-        sampled = pc.and_(arrays.is_valid(), pc.or_(rates.is_valid(), payloads.is_null()))
-        encoded = _each(pc.if_else(sampled, pa.scalar(None, payloads.type), payloads), _read_wav)
-
-        audio, sizes = [b""] * len(cells), [0] * len(cells)
-        for i, (samples, rate, read) in enumerate(zip(_waves(arrays), rates.to_pylist(), encoded)):
-            if read is not None:
-                samples, channels, rate = read
-            elif sampled[i].as_py():
-                channels, rate = 1, target if rate is None else rate
-            else:
-                continue
-            try:
-                mono = _at_rate(_mono(samples, channels), rate, target)
-                audio[i], sizes[i] = _write_wav(_pcm16(mono), target), mono.size
-            except Exception as error:  # as with unreadable payloads, whatever went wrong
-                _LOG.info("audio that cannot be processed: %s", error)
-        return pa.StructArray.from_arrays(
-            [pa.array(audio, pa.binary()), pa.array(sizes, pa.int64())],
-            names=PROCESSED_AUDIO.names,
-        )
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def made(audio: list, sizes: list) -> pa.Array:
+            return pa.StructArray.from_arrays(
+                [pa.array(audio, pa.binary()), pa.array(sizes, pa.int64())], names=PROCESSED_AUDIO.names
+            )
+
+        for cells in batches:
+            fields = {f.name: pc.struct_field(cells, f.name) for f in AUDIO_CELL.fields}
+            audio, sizes, held, failed = [], [], 0, None
+            for i, samples in enumerate(_waves(fields["array"])):
+                data, size = b"", 0
+                try:
+                    given = {name: fields[name][i].as_py() for name in ("sampling_rate", "bytes", "path")}
+                    found = _samples(given, samples, target, root)
+                    if found is not None:
+                        mono = _at_rate(_mono(*found[:2]), found[2], target)
+                        data, size = _write_wav(_pcm16(mono), target), mono.size
+                except OSError as error:
+                    if not isinstance(error, FileNotFoundError):
+                        raise
+                    failed = error
+                except Exception as error:  # whatever is wrong with the audio: the row goes on without it
+                    failed = error
+                audio.append(data)
+                sizes.append(size)
+                held += len(data)
+                if held >= _BATCH_BYTES:
+                    yield made(audio, sizes)
+                    audio, sizes, held = [], [], 0
+            if failed is not None:
+                _LOG.info("audio that cannot be processed in this batch, the last: %s", failed)
+            if audio or not len(cells):
+                yield made(audio, sizes)
 
     return run(cell)
 

@@ -93,9 +93,11 @@ def audio_cell(df: DataFrame, column: str) -> Column:
     )
 
 
-def process_audio(df: DataFrame, column: str = "audio", target: int = V.TARGET_RATE) -> DataFrame:
-    """Add audio_bytes and audio_size for an audio cell column. [A11]"""
-    processed = payload.process(audio_cell(df, column), target)
+def process_audio(
+    df: DataFrame, column: str = "audio", target: int = V.TARGET_RATE, root: str | None = None
+) -> DataFrame:
+    """Add audio_bytes and audio_size for an audio cell column; relative paths are below `root`. [A11]"""
+    processed = payload.process(audio_cell(df, column), target, root)
     data, size = audio.or_empty_audio(processed["audio_bytes"], processed["audio_size"])
     return df.withColumns({"audio_bytes": data, "audio_size": size})
 

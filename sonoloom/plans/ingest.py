@@ -1,7 +1,8 @@
 """The preparation jobs: raw rows to corpus rows, and the whole run with its report.
 
 Each job is one lazy plan. Cheap steps come first: attribute filter, first-N cut, text; audio
-is processed only for the rows that are left. All splits run together.
+is processed, and files that cells name are read, only for the rows that are left. All splits
+run together. `audio_root` is where relative paths of audio files start.
 """
 
 from collections.abc import Sequence
@@ -25,11 +26,12 @@ def ingest(
     max_samples: int | None = None,
     rate: int = V.TARGET_RATE,
     split_column: str = "split",
+    audio_root: str | None = None,
 ) -> DataFrame:
     """Corpus rows with normalised text: lower case, no punctuation, no digit-only text. [C1]"""
     rows = limits.first_rows_per_split(df, max_samples, splits, order_by, split_column)
     text = tx.normalise_or_empty(F.col(text_column), language, drop_digit_only=True)
-    return _finish(rows, text, corpus, language, audio_column, split_column, rate)
+    return _finish(rows, text, corpus, language, audio_column, split_column, rate, audio_root)
 
 
 def ingest_transcripts(
@@ -45,15 +47,16 @@ def ingest_transcripts(
     max_samples: int | None = None,
     rate: int = V.TARGET_RATE,
     split_column: str = "split",
+    audio_root: str | None = None,
 ) -> DataFrame:
     """Corpus rows of one state with cleaned transcripts, their punctuation kept. [C2]"""
     rows = tables.where_equal(df, state_column, state)
     rows = limits.first_rows_per_split(rows, max_samples, splits, order_by, split_column)
     text = tx.clean_transcript(F.col(text_column))
-    return _finish(rows, text, corpus, language, audio_column, split_column, rate)
+    return _finish(rows, text, corpus, language, audio_column, split_column, rate, audio_root)
 
 
-def _finish(df, text, corpus, language, audio_column, split_column, rate) -> DataFrame:
+def _finish(df, text, corpus, language, audio_column, split_column, rate, audio_root) -> DataFrame:
     """Drop rows without text, then process the audio of the others."""
     constants = {
         name: value if isinstance(value, Column) else F.lit(value)
@@ -65,7 +68,7 @@ def _finish(df, text, corpus, language, audio_column, split_column, rate) -> Dat
         *(value.alias(name) for name, value in constants.items()),
         tables.if_not_empty(text).alias("text"),
     )
-    return tables.conform(tables.process_audio(rows, "audio", rate))
+    return tables.conform(tables.process_audio(rows, "audio", rate, audio_root))
 
 
 def ingest_summary(prepared: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
@@ -79,6 +82,16 @@ def prepare_corpus(prepared: DataFrame, root: str, version: int = 0, **sink_opti
     return stored_report(prepared.sparkSession, root, version)
 
 
+def files_without_rows(spark, root: str, version: int = 0) -> DataFrame:
+    """The files of a stored corpus of which a report with `skip_corrupt` counts no row: unreadable, or empty."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .load(f"{root}/version={version}").select("path")
+    )
+    stored = scans.read_corpus(spark, root, skip_corrupt=True, version=version)
+    return listed.join(stored.select(F.col("_metadata.file_path").alias("path")).distinct(), "path", "left_anti")
+
+
 def stored_report(spark, root: str, version: int = 0, skip_corrupt: bool = False) -> DataFrame:
     """Statistics lines and TOTAL of a stored corpus; `skip_corrupt` passes over unreadable files. [C4]"""
     stored = scans.read_corpus(spark, root, skip_corrupt=skip_corrupt, version=version)

@@ -16,14 +16,15 @@ def write_corpus(
     dictionary: bool = True,
     rows_per_group: int = V.ROWS_PER_GROUP,
     rows_per_file: int = 0,
-    rebalance: bool = True,
+    rebalance: bool = False,
 ) -> None:
     """Write under version=/corpus=/split=/language=; partitions with new rows are replaced. [K1-K5]
 
     Partitions without new rows are left as they are, so an empty result writes nothing.
-    Rebalancing gathers each partition into files of the advisory size: small partitions
-    share a task, and a partition that holds most of the rows is divided among many. Without
-    it every task writes its own file into every partition it meets.
+    Every task writes its own file into every partition it meets, so the audio is not shuffled; the
+    split size of the scan bounds the number of tasks, and `rows_per_file` the length of files.
+    `rebalance` shuffles all rows instead and gathers each partition into files of the advisory size:
+    small partitions share a task, and one that holds most of the rows is divided among many.
     """
     df = df.withColumn("version", F.lit(version))
     if rebalance:

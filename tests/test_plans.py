@@ -98,7 +98,7 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     before = spark.conf.get(size)
     spark.conf.set(size, "2m")
     try:
-        sink.write_corpus(rows, root)
+        sink.write_corpus(rows, root, rebalance=True)
     finally:
         spark.conf.set(size, before)
     files = scans.read_corpus(spark, root).groupBy("language").agg(

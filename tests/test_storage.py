@@ -1,3 +1,5 @@
+import struct
+import wave
 from glob import glob
 from types import SimpleNamespace
 
@@ -82,6 +84,7 @@ def test_unreadable_files_are_skipped_on_request(spark, root):
     with open(damaged, "wb") as out:
         out.write(b"not parquet")
     assert scans.read_corpus(spark, root, skip_corrupt=True).count() == 10
+    assert [r.path.split("/")[-1] for r in ingest.files_without_rows(spark, root).collect()] == ["damaged.parquet"]
     with pytest.raises(Exception):
         scans.read_corpus(spark, root).select("text").collect()
 
@@ -150,3 +153,32 @@ def test_paths_match_with_and_without_their_file_system(spark, tmp_path):
     for root in (str(tmp_path), f"file://{tmp_path}"):
         rows = scans.with_payloads(df, root).sort("i").collect()
         assert [r.audio.bytes and bytes(r.audio.bytes) for r in rows] == [b"content"] * 3 + [None]
+
+
+def wav(path, values):
+    with wave.open(str(path), "wb") as out:
+        out.setnchannels(1)
+        out.setsampwidth(2)
+        out.setframerate(16000)
+        out.writeframes(struct.pack(f"<{len(values)}h", *values))
+
+
+def test_ingest_reads_the_files_of_the_rows_it_keeps(spark, tmp_path):
+    """Paths are followed after limit and text, without a join or a shuffle; missing and damaged files give silence."""
+    (tmp_path / "deep").mkdir()
+    for i in range(4):
+        wav(tmp_path / "deep" / f"{i}.wav", range(i, i + 10 + i))
+    (tmp_path / "bad.wav").write_bytes(b"no audio")
+    paths = [f"{tmp_path}/deep/0.wav", f"file:{tmp_path}/deep/1.wav", f"file://{tmp_path}/deep/2.wav", "deep/3.wav",
+             f"{tmp_path}/none.wav", f"{tmp_path}/bad.wav", "odd://x/y"]
+    rows = [(i, f"text {i}", "train", (None, p)) for i, p in enumerate([*paths, f"{tmp_path}", f"{tmp_path}"])]
+    rows[7] = (7, "12", *rows[7][2:])  # a folder is no file; both rows are gone before it is opened
+    df = spark.createDataFrame(rows, "id int, transcription string, split string, audio struct<bytes:binary,path:string>")
+    out = ingest.ingest(df, "c", "en", "id", max_samples=8, audio_root=str(tmp_path))
+    got = sorted((r.text, r.audio_size, len(r.audio_bytes)) for r in out.collect())
+    sizes = [10, 11, 12, 13, 0, 0, 0]
+    assert got == [(f"text {i}", n, 44 + 2 * n if n else 0) for i, n in enumerate(sizes)]
+    first = out.filter("audio_size = 11").first()
+    assert struct.unpack("<11h", first.audio_bytes[44:]) == tuple(range(1, 12))
+    main = out._jdf.queryExecution().executedPlan().toString().split("Subquery")[0]
+    assert "Join" not in main and "Exchange" not in main
