@@ -1,19 +1,21 @@
-"""HTML extraction by wrapper induction: same-host DOM trees aligned by simple tree matching.
+"""HTML extraction by wrapper induction: the pages of a host aligned by DOM path, their constant lines counted.
 
-A page becomes a tree of its block elements; inline elements only add text to their block. The sampled
-trees of a host are aligned with each other: text that is the same in all of them is template, and what
-varies is content. Elements that are named as something else (menus, adverts, comments, ...) are neither.
+A page becomes a tree of its block elements; inline elements only add text to their block. Over all different
+pages of a host it is counted how many have a line at a DOM path: lines that are constant there are template,
+and what varies is content. Elements that are named as something else (menus, adverts, comments, ...) are neither.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
+from collections import Counter
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sonoloom.llm.common import packed, written
@@ -49,6 +51,10 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORDS = re.compile(r"[a-z0-9]+")
+_NUMBER = re.compile(r"[0-9]+")
+
+#: A host with fewer different pages shows no template, nor is a line template that fewer pages have.
+LEAST_PAGES = 4
 
 
 class Node:
@@ -159,161 +165,113 @@ def _has_article(node: Node) -> bool:
     return not node.named_out and (_is_article(node) or any(_has_article(x) for x in node.blocks()))
 
 
-def _children(nodes: list[Node]) -> list[list[Node]]:
-    """The child blocks of like nodes that may be content, in groups.
-
-    Of one node, neighbours of one label are a group, so lists and paragraphs align however long they are;
-    of several nodes, all children of one label.
-    """
-    out: list[list[Node]] = []
-    for n in nodes:
-        for x in n.blocks():
-            if x.named_out:
-                continue
-            like = out[-1:] if len(nodes) == 1 else [g for g in out if g[0].label == x.label]
-            if like and like[0][0].label == x.label:
-                like[0].append(x)
-            else:
-                out.append([x])
-    return out
-
-
-def to_template(nodes: list[Node]) -> dict:
-    """The tree of a sampled page: label, the lines of text in it, children with repeated siblings joined."""
-    lines = sorted({x for n in nodes for x in _runs(n) if isinstance(x, str)})
-    children = [to_template(members) for members in _children(nodes)]
-    return {"label": nodes[0].label, "lines": lines, "children": children}
-
-
-def matching(a: list, b: list, score, pairs: bool = False):
-    """Simple tree matching of two child lists: the most node pairs that keep the order, by dynamic programming."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a, 1):
-        for j, y in enumerate(b, 1):
-            best[i][j] = max(best[i - 1][j], best[i][j - 1], best[i - 1][j - 1] + score(x, y))
-    if not pairs:
-        return best[-1][-1]
-    i, j, out = len(a), len(b), []
-    while i and j:
-        if best[i][j] == best[i - 1][j]:
-            i -= 1
-        elif best[i][j] == best[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((i, j))
-    return out[::-1]
-
-
-def _similar(a: dict, b: dict) -> int:
-    """Size of the largest matching of two trees; 0 if the roots' labels differ."""
-    return (a["label"] == b["label"]) and 1 + matching(a["children"], b["children"], _similar)
-
+def _key(path: int, said: str) -> int:
+    """64 bits for a block or a line below a DOM path; 0 is the path of the root."""
+    data = path.to_bytes(8, "little", signed=True) + said.encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
-def aligned(a: dict, b: dict) -> dict:
-    """`a` with only the lines and children that the aligned tree `b` has as well."""
-    pairs = matching(a["children"], b["children"], _similar, pairs=True)
-    kept = [aligned(a["children"][i], b["children"][j]) for i, j in pairs]
-    both = set(b["lines"])
-    return {"label": a["label"], "lines": [x for x in a["lines"] if x in both], "children": kept}
 
+def _main_lines(node: Node, inside: bool, path: int = 0) -> Iterator[tuple[int, int, str]]:
+    """(path, key, line) of the lines that may be main text: those in an article, or all if `inside`.
 
-def induce(pages: list[str], least_pages: int = 4) -> str:
-    """The wrapper of a host as JSON: the tree that all pages share, with the lines that are the same in all.
-
-    Fewer than `least_pages` different pages show no template, nor do pages without anything that varies
-    in their content: a group of copies is no layout.
+    Blocks of a class with numbers in it have one path whatever the numbers are.
     """
-    trees = [to_template([parse(t)]) for t in sorted(set(pages))]
-    if len(trees) < least_pages:
-        return ""
-    shared = trees[0]
-    for tree in trees[1:]:
-        shared = aligned(shared, tree)
-    if any(2 * _lines(shared) > _lines(t) for t in trees):
-        return ""
-    return json.dumps(shared, ensure_ascii=False)
-
-
-def _lines(tree: dict) -> int:
-    return len(tree["lines"]) + sum(_lines(c) for c in tree["children"])
-
-
-def _drop_constant(nodes: list[Node], template: dict) -> None:
-    """Take out of the blocks, in place, the lines that the template has at the aligned place."""
-    constant = set(template["lines"])
-    for n in nodes:
-        n.items = [x for x in _runs(n) if not (isinstance(x, str) and x in constant)]
-    own = [{"label": m[0].label, "nodes": m, "children": _shape(m)} for m in _children(nodes)]
-    for i, j in matching(template["children"], own, _similar, pairs=True):
-        _drop_constant(own[j]["nodes"], template["children"][i])
-
-
-def _shape(nodes: list[Node]) -> list[dict]:
-    return [{"label": m[0].label, "children": _shape(m)} for m in _children(nodes)]
-
-
-def _collect(node: Node, inside: bool, out: list[str]) -> None:
     inside = inside or _is_article(node)
     for x in _runs(node):
         if isinstance(x, str):
             if inside:
-                out.append(x)
+                yield path, _key(path, "=" + x), x
         elif not x.named_out:
-            _collect(x, inside, out)
+            yield from _main_lines(x, inside, _key(path, "/" + _NUMBER.sub("0", x.label)))
 
 
-def extract(page: str | None, template: dict | None = None) -> str:
-    """The main text: the varying lines of the article, or of the whole body if no element is named so."""
+def _lines_of(page: str | None) -> list[tuple[int, int, str]]:
+    """The lines of the article, or of the whole body if no element is named so."""
     tree = parse(page or "")
-    if template:
-        _drop_constant([tree], template)
-    out: list[str] = []
-    _collect(tree, not _has_article(tree), out)
-    return "\n".join(out)
+    return list(_main_lines(tree, not _has_article(tree)))
 
 
-def templates(pages: DataFrame, samples: int = 8) -> DataFrame:
-    """(`host`, `template`) for every host, induced from at most `samples` of its pages.
+def page_keys(page: str) -> tuple[bytes, set[tuple[int, int]]]:
+    """A digest that copies of the main text share, and (path, key) of each of its lines.
 
-    The pages of a host are dealt to `samples` bins by a hash of their content, and the one with the
-    smallest hash stands for its bin: a bounded choice that each task makes for itself before the shuffle.
+    Key 0 stands for the path as a whole, and (0, 0) for the page.
     """
-    digest = F.xxhash64("url", "html")
-    chosen = (
-        pages.where(F.length("html") > 0)
-        .select(host_of(F.col("url")).alias("host"), "html", digest.alias("h"))
-        .groupBy("host", F.pmod(F.shiftright("h", 7), F.lit(samples)).alias("bin"))
-        .agg(F.min_by("html", "h").alias("html"))
-    )
+    lines = _lines_of(page)
+    digest = hashlib.blake2b(b"".join(k.to_bytes(8, "little", signed=True) for _, k, _ in lines), digest_size=16)
+    keys = {x for path, key, _ in lines for x in ((path, key), (path, 0))}
+    return digest.digest(), keys | {(0, 0)} if keys else keys
+
 
-    def of_host(rows: pa.Table) -> pa.Table:
-        wrapper = induce(rows.column("html").to_pylist())
-        return pa.table({"host": rows.column("host")[:1], "template": pa.array([wrapper], pa.string())})
+def _constant(n, of):
+    """Whether a line is template that `n` of the `of` different pages with its path have; numbers or columns."""
+    return (n >= LEAST_PAGES) & (n == of)
 
-    return chosen.groupBy("host").applyInArrow(of_host, "host string, template string").where("template <> ''")
 
+def induce(pages: list[str]) -> str:
+    """The wrapper of one host as JSON: the keys of its constant lines, by the rule of `templates`."""
+    counts = Counter(x for keys in dict(map(page_keys, pages)).values() for x in keys)
+    if counts[0, 0] < LEAST_PAGES:
+        return ""
+    found = sorted(key for (path, key), n in counts.items() if key and _constant(n, counts[path, 0]))
+    return json.dumps(found) if found else ""
+
+
+def extract(page: str | None, template: Collection[int] = ()) -> str:
+    """The main text: the varying lines of the article, or of the whole body if no element is named so."""
+    return "\n".join(line for _, key, line in _lines_of(page) if key not in template)
 
-def extracted(pages: DataFrame, samples: int = 8, broadcast_chars: int = 8_000_000) -> DataFrame:
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(`host`, `template`) of every host with constant lines; the template is an array of their keys.
+
+    Every page is read. Pages with the same main text are one page, and a host with fewer than `LEAST_PAGES`
+    different ones shows no template. A line is counted within each task before the shuffle.
+    """
+    kind = "struct<digest:binary,found:array<struct<path:bigint,line:bigint>>>"
+    entry = pa.struct([("path", pa.int64()), ("line", pa.int64())])
+
+    @F.arrow_udf(kind)
+    def keys_of(html: pa.Array) -> pa.Array:
+        digests, found = zip(*(page_keys(page.as_py()) for page in html)) if len(html) else ((), ())
+        rows = [[{"path": p, "line": k} for p, k in keys] for keys in found]
+        return pa.StructArray.from_arrays(
+            [pa.array(digests, pa.binary()), pa.array(rows, pa.list_(entry))], names=["digest", "found"]
+        )
+
+    keys = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), keys_of("html").alias("k"))
+    different = keys.groupBy("host", "k.digest").agg(F.first("k.found").alias("found"))
+    counts = different.select("host", F.inline("found")).groupBy("host", "path", "line").agg(F.count("*").alias("n"))
+    counts = written(counts.where(F.col("n") > 1))
+    paths = counts.where("line = 0").select("host", "path", F.col("n").alias("of"))
+    hosts = paths.where((F.col("path") == 0) & (F.col("of") >= LEAST_PAGES))
+    constant = counts.where("line <> 0").join(paths, ["host", "path"]).where(_constant(F.col("n"), F.col("of")))
+    return constant.join(hosts, "host", "left_semi").groupBy("host").agg(F.collect_set("line").alias("template"))
+
+
+def extracted(pages: DataFrame, broadcast_lines: int = 500_000) -> DataFrame:
     """Every row as struct `row` with its main `text`, empty if there is none.
 
     Named elements that are no content never count. Where a page has article or main elements, its text is
-    theirs, else that of the body. Lines that are the same at the aligned place in all sampled pages of the
+    theirs, else that of the body. Lines that are constant at their DOM path over all different pages of the
     host are left out. Blocks are lines, with one space for white space. Null or empty html gives an empty
     text; rows with a null or odd url share the empty host; repeated rows are each extracted. The templates
-    are broadcast if they have at most `broadcast_chars` characters together, else joined.
+    are broadcast if they have at most `broadcast_lines` lines together, else joined.
     """
-    table = written(templates(pages, samples))
-    held = table.agg(F.coalesce(F.sum(F.length("template")), F.lit(0))).first()[0]
+    table = written(templates(pages))
+    held = table.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
     side = table.withColumnRenamed("host", "h")
     rows = packed(pages)
     joined = rows.join(
-        F.broadcast(side) if held <= broadcast_chars else side, host_of(F.col("row.url")) == F.col("h"), "left"
+        F.broadcast(side) if held <= broadcast_lines else side, host_of(F.col("row.url")) == F.col("h"), "left"
     )
 
     @F.arrow_udf("string")
-    def text_of(page: pa.Array, template: pa.Array) -> pa.Array:
-        loaded = {t: json.loads(t) for t in pc.unique(template).to_pylist() if t}
-        return pa.array([extract(p.as_py(), loaded.get(t.as_py())) for p, t in zip(page, template)], pa.string())
-
-    return joined.select("row", text_of(F.col("row.html"), F.col("template")).alias("text"))
+    def text_of(page: pa.Array, host: pa.Array, template: pa.Array) -> pa.Array:
+        loaded, out = {None: frozenset()}, []
+        for p, h, t in zip(page, host.to_pylist(), template):
+            if h not in loaded:
+                loaded[h] = frozenset(t.values.to_pylist())
+            out.append(extract(p.as_py(), loaded[h]))
+        return pa.array(out, pa.string())
+
+    return joined.select("row", text_of(F.col("row.html"), F.col("h"), F.col("template")).alias("text"))

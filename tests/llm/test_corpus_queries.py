@@ -243,6 +243,25 @@ def test_template_lines_go_and_slots_stay():
     assert wrapper.induce([page.format(1)] * 6) == ""  # copies show no template
 
 
+def extracted_texts(spark, pages):
+    from sonoloom.llm import wrapper
+
+    rows = spark.createDataFrame(pages, "url string, html string").repartition(3)
+    return {r.row.url: r.text for r in wrapper.extracted(rows).collect()}
+
+
+def test_all_different_pages_of_a_host_decide_on_its_template(spark):
+    """Small hosts and hosts full of copies lose their template; a line that only most pages have stays."""
+    page = "<body><div><h2>About this site</h2><p>Text {0} a</p><p>Text {0} b</p><p>{1}</p></div></body>"
+    pages = [(f"http://small{n}-{k}.org/{i}", page.format(f"{k}x{i}", "Read more")) for n in (4, 5, 6) for k in range(8) for i in range(n)]
+    pages += [(f"http://copies.org/{i}", page.format(max(i, 190), "Read more")) for i in range(200)]
+    pages += [(f"http://most.org/{i}", page.format(i, "Read more" if i % 4 else "Read less")) for i in range(200)]
+    pages += [(f"http://three.org/{i}", page.format(i, "Read more")) for i in range(3)]
+    for url, text in extracted_texts(spark, pages).items():
+        lines = text.split("\n")
+        assert (len(lines), "About this site" in lines) == ((4, True) if "three.org" in url else (3, False) if "most.org" in url else (2, False))
+
+
 # op9 and the pipeline
 
 
