@@ -53,7 +53,7 @@ _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _WORDS = re.compile(r"[a-z0-9]+")
 _NUMBER = re.compile(r"[0-9]+")
 
-#: A host with fewer different pages shows no template, nor is a line template that fewer pages have.
+#: A host with fewer different pages shows no template. A line of a template is in as many, but for one.
 LEAST_PAGES = 4
 
 
@@ -202,9 +202,16 @@ def page_keys(page: str) -> tuple[bytes, set[tuple[int, int]]]:
     return digest.digest(), keys | {(0, 0)} if keys else keys
 
 
-def _constant(n, of):
-    """Whether a line is template that `n` of the `of` different pages with its path have; numbers or columns."""
-    return (n >= LEAST_PAGES) & (n == of)
+def _constant(n, of, pages):
+    """Whether a line is template: `n` of the `of` pages with its path have it, out of the host's different `pages`.
+
+    The figures are numbers or columns.
+
+    One page in ten may lack it, and one page in any case: a stub does not end the template of its host.
+    Pages without the path, as stubs are or pages of another layout, say nothing about the line. What less
+    than a quarter of the host's pages have, a heading of some tables, is no layout of the host.
+    """
+    return (n >= LEAST_PAGES - 1) & (4 * n >= pages) & ((of - n <= 1) | (10 * (of - n) <= of))
 
 
 def induce(pages: list[str]) -> str:
@@ -212,7 +219,7 @@ def induce(pages: list[str]) -> str:
     counts = Counter(x for keys in dict(map(page_keys, pages)).values() for x in keys)
     if counts[0, 0] < LEAST_PAGES:
         return ""
-    found = sorted(key for (path, key), n in counts.items() if key and _constant(n, counts[path, 0]))
+    found = sorted(key for (path, key), n in counts.items() if key and _constant(n, counts[path, 0], counts[0, 0]))
     return json.dumps(found) if found else ""
 
 
@@ -225,7 +232,8 @@ def templates(pages: DataFrame) -> DataFrame:
     """(`host`, `template`) of every host with constant lines; the template is an array of their keys.
 
     Every page is read. Pages with the same main text are one page, and a host with fewer than `LEAST_PAGES`
-    different ones shows no template. A line is counted within each task before the shuffle.
+    different ones shows no template, so what is left of the others varies. How much of a page is template does
+    not matter. A line is counted within each task before the shuffle.
     """
     kind = "struct<digest:binary,found:array<struct<path:bigint,line:bigint>>>"
     entry = pa.struct([("path", pa.int64()), ("line", pa.int64())])
@@ -243,9 +251,10 @@ def templates(pages: DataFrame) -> DataFrame:
     counts = different.select("host", F.inline("found")).groupBy("host", "path", "line").agg(F.count("*").alias("n"))
     counts = written(counts.where(F.col("n") > 1))
     paths = counts.where("line = 0").select("host", "path", F.col("n").alias("of"))
-    hosts = paths.where((F.col("path") == 0) & (F.col("of") >= LEAST_PAGES))
-    constant = counts.where("line <> 0").join(paths, ["host", "path"]).where(_constant(F.col("n"), F.col("of")))
-    return constant.join(hosts, "host", "left_semi").groupBy("host").agg(F.collect_set("line").alias("template"))
+    hosts = paths.where((F.col("path") == 0) & (F.col("of") >= LEAST_PAGES)).select("host", F.col("of").alias("pages"))
+    lines = counts.where("line <> 0").join(paths, ["host", "path"]).join(hosts, "host")
+    constant = lines.where(_constant(F.col("n"), F.col("of"), F.col("pages")))
+    return constant.groupBy("host").agg(F.collect_set("line").alias("template"))
 
 
 def extracted(pages: DataFrame, broadcast_lines: int = 500_000) -> DataFrame:

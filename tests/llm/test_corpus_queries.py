@@ -262,6 +262,28 @@ def test_all_different_pages_of_a_host_decide_on_its_template(spark):
         assert (len(lines), "About this site" in lines) == ((4, True) if "three.org" in url else (3, False) if "most.org" in url else (2, False))
 
 
+def test_stubs_and_short_articles_keep_the_template_of_their_host(spark):
+    from sonoloom.llm import wrapper
+
+    around = "<body><div><h2>About</h2><p>Site</p></div><div>{0}</div><ul><li>Read more</li><li>Contact</li></ul></body>"
+    article = around.format("<p>First {0}</p><p>Second {0}</p><p>Third {0}</p>")
+    pages = [(f"http://short.org/{i}", article.format(i)) for i in range(12)]
+    for n in (3, 7, 200):
+        pages += [(f"http://stub{n}.org/{i}", article.format(i)) for i in range(n)] + [(f"http://stub{n}.org/gone", around.format("<p>Gone</p>"))]
+        pages += [(f"http://bare{n}.org/{i}", article.format(i)) for i in range(n)] + [(f"http://bare{n}.org/gone", "<body><div><p>Gone</p></div></body>")]
+    pages += [(f"http://half.org/{i}", article.format(i).replace("Contact", "Contact" if i % 2 else f"Row {i}")) for i in range(40)]
+    pages += [(f"http://table.org/{i}", article.format(i).replace("<ul>", "<table><td>Total</table><ul>" if i < 5 else "<ul>")) for i in range(40)]
+    for url, text in extracted_texts(spark, pages).items():
+        own = url.rsplit("/", 1)[1]
+        left = ["Gone"] if own == "gone" else [f"First {own}", f"Second {own}", f"Third {own}"]
+        if "half" in url:
+            left.append("Contact" if int(own) % 2 else f"Row {own}")
+        if "table" in url and int(own) < 5:
+            left.append("Total")
+        assert text.split("\n") == left
+    assert wrapper.induce([article.format(i) for i in range(12)])
+
+
 # op9 and the pipeline
 
 
