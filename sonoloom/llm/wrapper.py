@@ -33,13 +33,27 @@ NOT_CONTENT = frozenset(
     "nav header footer aside form script style noscript template iframe svg canvas object button select textarea "
     "menu dialog head title noembed noframes math datalist".split()
 )
+#: Any class or id with one of these words names an element out, wherever it is, ...
 NOT_CONTENT_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
-    "gdpr notice notices alert popup modal overlay newsletter subscribe subscription sidebar menu nav navbar "
-    "navigation breadcrumb breadcrumbs footer header masthead comment comments respond replies disqus social share "
-    "sharing related recommended widget pagination pager skip toolbar login signup".split()
+    "ad ads advert adverts advertisement advertising sponsored gdpr newsletter navbar breadcrumb breadcrumbs comment "
+    "comments disqus pagination".split()
 )
-NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
+#: ... and one of these outside articles if it has no other words, or only such as say where and in what form.
+NOT_CONTENT_NAMES = frozenset(
+    "sponsor promo promotion banner cookie cookies consent popup modal overlay subscribe subscription sidebar menu nav "
+    "navigation footer header masthead respond replies social share sharing related recommended widget pager skip "
+    "toolbar login signup".split()
+)
+_PLACES = frozenset(
+    "left right top bottom upper lower primary secondary main site global mobile desktop wrapper container area box "
+    "block section bar list links link buttons inner outer to".split()
+)
+#: A name with one of these says how the page is laid out, not what the element is.
+_MODIFIERS = frozenset("no not non with without has hide hidden free".split())
+NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog form menu".split())
+#: Named out by their nature, whatever they hold; and unless they hold the only article of the page.
+_INERT = frozenset("script style noscript template iframe svg canvas object head title noembed noframes math datalist".split())
+_ASIDE = frozenset("nav footer aside menu dialog button select textarea".split())
 _ENDS = {
     "li": ("li", {"ul", "ol", "menu", "dir"}),
     "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}),
@@ -58,12 +72,12 @@ LEAST_PAGES = 4
 
 
 class Node:
-    """A block element: its label, its runs of text and child blocks in order, and whether it may be content."""
+    """A block element, or an inline one that is named out: its runs of text and child elements in order."""
 
-    __slots__ = ("items", "label", "named_out")
+    __slots__ = ("inline", "items", "label", "named_out", "tag")
 
-    def __init__(self, label: str, named_out: bool):
-        self.label, self.named_out, self.items = label, named_out, []
+    def __init__(self, tag: str, label: str, named_out: bool, inline: bool = False):
+        self.tag, self.label, self.named_out, self.inline, self.items = tag, label, named_out, inline, []
 
     def blocks(self) -> list[Node]:
         return [x for x in self.items if isinstance(x, Node)]
@@ -73,20 +87,41 @@ def _attributes(tail: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(tail)} if "=" in tail else {}
 
 
-def _named_out(tag: str, attributes: dict[str, str]) -> bool:
+def _is_name_out(name: str, in_article: bool) -> bool:
+    """Whether a class or id says that its element is no content."""
+    words = set(_WORDS.findall(name))
+    if not words.isdisjoint(_MODIFIERS):
+        return False
+    if not words.isdisjoint(NOT_CONTENT_WORDS):
+        return True
+    return not in_article and not words.isdisjoint(NOT_CONTENT_NAMES) and words <= NOT_CONTENT_NAMES | _PLACES
+
+
+def _named_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in NOT_CONTENT:
         return True
     if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes.get("class", ""):
         return False
-    said = _WORDS.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return not NOT_CONTENT_WORDS.isdisjoint(said) or attributes.get("role", "").lower() in NOT_CONTENT_ROLES
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
+    return any(_is_name_out(x, in_article) for x in names) or attributes.get("role", "").lower() in NOT_CONTENT_ROLES
+
+
+def _let_in(node: Node, kept_out: frozenset[str], in_article: bool = False) -> bool:
+    """Lets elements in, in place, that are named out but hold an article or main; true if there is one in `node`.
+
+    Articles within an article are comments or teasers, and let nothing in.
+    """
+    found = [_let_in(x, kept_out, in_article or node.tag == "article" and not node.named_out) for x in node.blocks()]
+    if node.named_out and any(found) and not in_article and node.tag not in kept_out:
+        node.named_out = False
+    return not node.named_out and (any(found) or _is_article(node))
 
 
 def parse(text: str) -> Node:
     """The block tree of a page. Open ends, missing and stray tags are taken as browsers take them."""
-    root = Node("", False)
-    # (tag, block that its text goes to, whether the text counts)
-    stack: list[tuple[str, Node, bool]] = [("", root, True)]
+    root = Node("", "", False)
+    # (tag, element that its text goes to, whether it is in an article)
+    stack: list[tuple[str, Node, bool]] = [("", root, False)]
     position, end = 0, len(text)
     while position < end:
         m = _TOKEN.match(text, position)
@@ -94,7 +129,7 @@ def parse(text: str) -> Node:
         tag = m[2]
         if tag is None:
             piece = m[0]
-            if stack[-1][2] and not piece.startswith(("<!", "<?")):
+            if not piece.startswith(("<!", "<?")):
                 stack[-1][1].items.append(entities.unescape(piece) if "&" in piece else piece)
             continue
         tag = tag.lower()
@@ -107,10 +142,10 @@ def parse(text: str) -> Node:
                 _close(stack, "p")
             if tag in _ENDS:
                 _end_open(stack, *_ENDS[tag])
-        out = _named_out(tag, attributes)
-        if tag in BLOCKS:
+        out = _named_out(tag, attributes, stack[-1][2])
+        if tag in BLOCKS or out:
             mark = tag if tag in ("html", "body", "p") else f"{tag}.{attributes.get('class', '')}"
-            node = Node(mark, out)
+            node = Node(tag, mark, out, tag not in BLOCKS)
             stack[-1][1].items.append(node)
         else:
             node = stack[-1][1]
@@ -120,7 +155,9 @@ def parse(text: str) -> Node:
             close = re.compile(rf"</{tag}\s*/?>", re.IGNORECASE).search(text, position)
             position = close.end() if close else end
         elif tag not in VOID and not (m[3].endswith("/") and tag in ("path", "use", "circle", "rect")):
-            stack.append((tag, node, stack[-1][2] and not out))
+            stack.append((tag, node, stack[-1][2] or tag in ("article", "main")))
+    if not _let_in(root, _INERT | _ASIDE):
+        _let_in(root, _INERT)
     return root
 
 
@@ -149,6 +186,8 @@ def _runs(node: Node) -> list[str | Node]:
         if isinstance(x, str):
             parts.append(x)
             continue
+        if x is not None and x.inline and x.named_out:
+            continue
         if line := " ".join("".join(parts).split()):
             out.append(line)
         parts = []
@@ -158,7 +197,7 @@ def _runs(node: Node) -> list[str | Node]:
 
 
 def _is_article(node: Node) -> bool:
-    return node.label.split(".")[0] in ("article", "main")
+    return node.tag in ("article", "main")
 
 
 def _has_article(node: Node) -> bool:
@@ -260,7 +299,7 @@ def templates(pages: DataFrame) -> DataFrame:
 def extracted(pages: DataFrame, broadcast_lines: int = 500_000) -> DataFrame:
     """Every row as struct `row` with its main `text`, empty if there is none.
 
-    Named elements that are no content never count. Where a page has article or main elements, its text is
+    Named elements that are no content never count, unless they hold the article. Where a page has article or main elements, its text is
     theirs, else that of the body. Lines that are constant at their DOM path over all different pages of the
     host are left out. Blocks are lines, with one space for white space. Null or empty html gives an empty
     text; rows with a null or odd url share the empty host; repeated rows are each extracted. The templates

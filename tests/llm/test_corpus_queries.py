@@ -284,6 +284,26 @@ def test_stubs_and_short_articles_keep_the_template_of_their_host(spark):
     assert wrapper.induce([article.format(i) for i in range(12)])
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<body><nav>m</nav><div class='content no-sidebar'><article><p>Text</p></article></div></body>", "Text"),
+        ("<body><div id='page-with-sidebar'><p>Text</p></div><div class='left-sidebar'>s</div></body>", "Text"),
+        ("<body><form><div class='ad-layout'><main><p>Text</p></main><p>out</p></div></form></body>", "Text"),
+        ("<body><nav><p>never closed<article><p>Text</p></article></body>", "Text"),
+        ("<article><div class='article-header'><h1>Title</h1></div><p class='notice'>Take care</p><p>Text</p></article>", "Title\nTake care\nText"),
+        ("<article><p>Text <span class='ad'>buy</span> on</p><div class='related'>More</div><div class='ad-slot'>x</div></article>", "Text on\nMore"),
+        ("<main><p>Text</p></main><aside><article>teaser</article></aside><template><article>t</article></template>", "Text"),
+        ("<article><p>Text</p><div class='comments'><article class='comment'>c</article><article>d</article></div></article>", "Text"),
+        ("<body><div class='nav'>m</div><div id='site-header'>h</div><p>Text</p><div class='cookie-bar'>k</div><script>x</script></body>", "Text"),
+    ],
+)
+def test_only_what_is_no_content_is_named_out(page, want):
+    from sonoloom.llm import wrapper
+
+    assert wrapper.extract(page) == want
+
+
 # op9 and the pipeline
 
 
