@@ -26,8 +26,13 @@ _LOG = logging.getLogger(__name__)
 _PCM, _FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
 _READABLE = {(_PCM, 1), (_PCM, 2), (_PCM, 3), (_PCM, 4), (_FLOAT, 4), (_FLOAT, 8)}
 
-#: A damaged rate can ask for any length; more samples than this (4.6 hours at 16 kHz) are not made.
+#: A damaged rate can ask for any length. More samples than this are made only of a recording that grows by
+#: no more than `_MOST_GROWTH`, which a rate of 1 kHz does at 16 kHz: a long recording has its own bytes.
 _MOST_SAMPLES = 1 << 28
+_MOST_GROWTH = 16
+
+#: Samples that are resampled or quantised at once.
+_BLOCK_SAMPLES = 1 << 22
 
 #: Processed audio is passed on in batches of about this size.
 _BATCH_BYTES = 1 << 26
@@ -102,31 +107,44 @@ def _mono(samples: np.ndarray, channels: int) -> np.ndarray:
     return total / np.float32(channels)
 
 
-def _at_rate(mono: np.ndarray, rate: int, target: int) -> np.ndarray:
-    """The numpy form of `functions.audio.resample`."""
-    if rate == target:
-        return mono
+def _resampled(mono: np.ndarray, rate: int, target: int, kind: type, stored=None) -> np.ndarray:
+    """The samples at the target rate as `kind`, made block by block; `stored` is applied to each block."""
     if mono.size == 0 or rate <= 0:
         raise ValueError("nothing to resample")
     last, count = mono.size - 1, int(mono.size / rate * target)
-    if count > _MOST_SAMPLES:
+    if count > max(_MOST_SAMPLES, _MOST_GROWTH * mono.size):
         raise ValueError(f"{count} samples at the target rate")
-    position = np.arange(count) * (last / (count - 1) if count > 1 else 0.0)
-    left = position.astype(np.int64)
-    samples = mono.astype(np.float64)
-    here, ahead = samples[left], samples[np.minimum(left + 1, last)]
-    out = here + (position - left) * (ahead - here)
-    if count > 1:
-        out[-1] = samples[last]
+    step = last / (count - 1) if count > 1 else 0.0
+    out = np.empty(count, kind)
+    for start in range(0, count, _BLOCK_SAMPLES):
+        position = np.arange(start, min(start + _BLOCK_SAMPLES, count)) * step
+        left = np.minimum(position.astype(np.int64), last)
+        first = left[0]
+        samples = mono[first : left[-1] + 2].astype(np.float64)
+        here, ahead = samples[left - first], samples[np.minimum(left + 1, last) - first]
+        block = here + (position - left) * (ahead - here)
+        if count > 1 and start + len(block) == count:
+            block[-1] = mono[last]
+        out[start : start + len(block)] = stored(block) if stored else block
     return out
 
 
+def _at_rate(mono: np.ndarray, rate: int, target: int) -> np.ndarray:
+    """The numpy form of `functions.audio.resample`."""
+    return mono if rate == target else _resampled(mono, rate, target, np.float64)
+
+
 def _pcm16(mono: np.ndarray) -> np.ndarray:
     """Values to store: the inverse of reading, so PCM16 that is only decoded comes back bit for bit."""
     scaled = np.rint(np.nan_to_num(mono, nan=0.0) * mono.dtype.type(V.PCM16_READ_SCALE))
     return np.clip(scaled, -V.PCM16_READ_SCALE, V.PCM16_READ_SCALE - 1).astype(np.int16)
 
 
+def _pcm16_at_rate(mono: np.ndarray, rate: int, target: int) -> np.ndarray:
+    """`_pcm16` of `_at_rate`, without either as a whole in double precision."""
+    return _pcm16(mono) if rate == target else _resampled(mono, rate, target, np.int16, _pcm16)
+
+
 def _each(payloads: pa.Array, read) -> list:
     """`read` over every payload; None for a missing or unreadable one, one log line a batch."""
     rows, failed = [], None
@@ -256,8 +274,8 @@ def process(cell: Column, target: int = V.TARGET_RATE, root: str | None = None)
                     given = {name: fields[name][i].as_py() for name in ("sampling_rate", "bytes", "path")}
                     found = _samples(given, samples, target, root)
                     if found is not None:
-                        mono = _at_rate(_mono(*found[:2]), found[2], target)
-                        data, size = _write_wav(_pcm16(mono), target), mono.size
+                        pcm = _pcm16_at_rate(_mono(*found[:2]), found[2], target)
+                        data, size = _write_wav(pcm, target), pcm.size
                 except OSError as error:
                     if not isinstance(error, FileNotFoundError):
                         raise

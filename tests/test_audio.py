@@ -280,3 +280,17 @@ def test_rate_cast_takes_every_form(spark):
     assert [c.array and len(c.array) for c in got] == [1600, 1600, 800, None, None, None]
     assert [c.sampling_rate for c in got] == [16000] * 3 + [None] * 3
     assert got[3].path == "a.wav" and bytes(got[4].bytes) == b"damaged"
+
+
+def test_long_recordings_are_resampled_in_blocks(monkeypatch):
+    """A recording over the limit of damaged rates keeps its audio; blocks change no sample."""
+    given = sine(seconds=1.0, rate=44100)
+    whole = payload._at_rate(given, 44100, 16000)
+    monkeypatch.setattr(payload, "_MOST_SAMPLES", 1000)
+    assert np.array_equal(payload._at_rate(given, 44100, 16000), whole)
+    for block in (1, 77, 16000):
+        monkeypatch.setattr(payload, "_BLOCK_SAMPLES", block)
+        assert np.array_equal(payload._at_rate(given, 44100, 16000), whole)
+        assert np.array_equal(payload._pcm16_at_rate(given, 44100, 16000), payload._pcm16(whole))
+    with pytest.raises(ValueError):
+        payload._at_rate(given, 1, 16000)
