@@ -100,10 +100,13 @@ def within_first(
     df: DataFrame,
     n: int | None,
     order_by: str | Sequence[str],
-    splits: Sequence[str] | None = None,
+    splits: Sequence[str | None] | None = None,
     split_column: str = "split",
 ) -> Column:
-    """Predicate on the rows of `df`: among the first `n`, of each named split if any are named."""
+    """Predicate on the rows of `df`: among the first `n`, of each named split if any are named.
+
+    With a limit, None among the names stands for the rows without a split.
+    """
     key = _key(order_by)
     if splits is None:
         return key <= cut_key(df, n, order_by).scalar() if n else F.lit(True)
@@ -112,8 +115,9 @@ def within_first(
         return split.isin(list(splits))
     kept = F.lit(False)
     for name in splits:
-        cut = cut_key(df.filter(split == name), n, order_by).scalar()
-        kept = kept | ((split == name) & (key <= cut))
+        named = split.isNull() if name is None else split == name
+        cut = cut_key(df.filter(named), n, order_by).scalar()
+        kept = kept | (named & (key <= cut))
     return kept
 
 
@@ -131,12 +135,12 @@ def first_rows_per_split(
 ) -> DataFrame:
     """The rows of the named splits, or of all, of each the first `n`; 0 or None keeps all. [L1]
 
-    With a limit and no names, the names of the splits are read first.
+    With a limit and no names, the names of the splits are read first; rows without a split are one more.
     """
     if splits is None:
         if not n:
             return df
-        splits = [name for (name,) in df.select(split_column).distinct().dropna().collect()]
+        splits = [name for (name,) in df.select(split_column).distinct().collect()]
     return df.filter(within_first(df, n, order_by, splits, split_column))
 
 

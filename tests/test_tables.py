@@ -210,3 +210,10 @@ def test_ingest_generic(spark):
     ]
     summary = ingest.ingest_summary(out).where("split = 'train'").first()
     assert (summary.num_samples, summary.duration_hours) == (4, 24 / 16000 / 3600)
+
+
+def test_rows_without_a_split_are_one_more_split(spark):
+    rows = spark.createDataFrame([(i, (None, "a", "b")[i % 3]) for i in range(12)], "id int, split string")
+    for n, want in ((2, 6), (100, 12)):
+        kept = limits.first_rows_per_split(rows, n, None, "id").collect()
+        assert sorted(r.id for r in kept) == list(range(want))
