@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sonoloom.llm import licenses
+
 # Words: the text's runs of characters that are none of these six.
 _WORDS = r"list_filter(regexp_split_to_array(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -141,8 +143,43 @@ hits AS (
   GROUP BY row_id, doc_id, item, item_id)
 SELECT doc_id, item_id, c::DOUBLE / total::DOUBLE AS containment FROM hits WHERE c >= 0.8 * total - 1e-9"""
 
+def _rules() -> str:
+    """The license rules as SQL rows; base rules have priority -1."""
+    rows = [(r, -1) for r in licenses.BASE] + [(r, r.priority) for r in licenses.RULES]
+    return ",\n".join(f"({i}, '{r.label}', '{r.keyword}', '{r.pattern}', {p})" for i, (r, p) in enumerate(rows))
+
+
+_OP12 = rf"""
+WITH rules(place, label, keyword, pattern, priority) AS (VALUES {_rules()}),
+spaced AS (
+  SELECT doc_id, row_number() OVER () AS row_id, ' ' || trim(regexp_replace(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g'), ' ') || ' ' AS norm
+  FROM documents),
+tried AS (
+  SELECT row_id, place, label, priority, regexp_extract_all(norm, pattern) AS ms, string_split_regex(norm, pattern) AS pieces
+  FROM spaced JOIN rules ON contains(norm, ' ' || keyword || ' ')),
+counted AS (
+  SELECT * REPLACE (list_transform(ms, lambda x: length(x) - length(replace(x, ' ', ''))) AS ms,
+    list_transform(pieces, lambda x: length(x) - length(replace(x, ' ', ''))) AS pieces)
+  FROM tried WHERE len(ms) > 0),
+found AS (
+  SELECT row_id, place, label, priority, unnest(list_transform(range(1, len(ms) + 1), lambda i: (list_sum(pieces[1:i])
+    + coalesce(list_sum(ms[1:i - 1]), 0)) // 2))::BIGINT AS a, unnest(ms) // 2 AS n FROM counted),
+rivals AS (SELECT * FROM found WHERE priority >= 0),
+lost AS (
+  SELECT DISTINCT d.row_id, d.place, d.a FROM rivals d JOIN rivals e ON d.row_id = e.row_id AND e.priority <= d.priority
+    AND e.a <= d.a AND e.a + e.n >= d.a + d.n AND (e.n > d.n OR e.priority < d.priority OR e.place < d.place)),
+held AS (
+  SELECT f.* FROM found f LEFT JOIN lost l ON f.row_id = l.row_id AND f.place = l.place AND f.a = l.a WHERE l.a IS NULL)
+SELECT any_value(doc_id) AS doc_id, any_value(CASE WHEN norm = '  ' THEN 0 ELSE (length(norm) - length(replace(norm, ' ', ''))) // 2 END) AS n_words,
+  count(*) FILTER (priority = -1) AS n_base, min(a) FILTER (priority = -1) AS first_word, max(a) FILTER (priority = -1) AS last_word,
+  coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (priority = -1)), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list(DISTINCT label) FILTER (label IS NOT NULL)), ','), '') AS labels,
+  coalesce(max(CASE priority WHEN -1 THEN 0.5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.9 WHEN 2 THEN 0.75 WHEN 3 THEN 0.4 END), 0.0)::DOUBLE AS score
+FROM spaced LEFT JOIN held USING (row_id) GROUP BY row_id"""
+
 #: The others are held against brute force in tests/llm: ranks that are passed on in rounds (op6), a keyed hash
-#: that SQL lacks (op8), a trained model (op9), HTML (op10).
+#: that SQL lacks (op8), a trained model (op9), HTML (op10), runs of any period (op11).
 SQL: dict[str, str] = {
     "op1_secret_scans": _OP1,
     "op2_substring_dedup": _OP2,
@@ -150,4 +187,5 @@ SQL: dict[str, str] = {
     "op4_warc": _OP4,
     "op5_mixing": _OP5,
     "op7_decontamination": _OP7,
+    "op12_license_scans": _OP12,
 }

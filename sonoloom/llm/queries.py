@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonoloom.llm import (
-    decontamination, mixing, oracles, quality, secrets, simhash, substring, toxicity, urls, warc, wrapper,
+    decontamination, licenses, mixing, oracles, periodic, quality, secrets, simhash, spelling, substring, toxicity,
+    urls, warc, wrapper,
 )
 from sonoloom.llm.common import shared_folder
 
 
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -108,11 +109,70 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@F.arrow_udf("string")
+def _planted(texts: pa.Array, numbers: pa.Array) -> pa.Array:
+    """Texts whose words repeat with a period from some word on, both set by a number."""
+    out = []
+    for text, g in zip(texts.to_pylist(), numbers.to_pylist()):
+        words = text.encode("utf-8", "surrogatepass").split() if text is not None and g is not None else []
+        if n := len(words):
+            a = g % n
+            period = 1 + (n - a) // (3 + g % 8)
+            words[a:] = (words[a : a + period] * -(-(n - a) // period))[: n - a]
+            text = b" ".join(words).decode("utf-8", "surrogatepass")
+        out.append(text)
+    return pa.array(out, pa.string())
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = h % 10 == 0
+    text = F.when(chosen, _planted(F.when(chosen, F.col("text")), F.floor(h / 10))).otherwise(F.col("text"))
+    rows = periodic.collapsed(docs.select("doc_id", text.alias("text")))
+    longest = F.aggregate(
+        "runs", F.lit(None).cast(periodic.RUN),
+        lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best),
+    )
+    said = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    return rows.select("row", "runs", "collapsed", longest.alias("best")).select(
+        F.col("row.doc_id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda d: d["start"].cast("long"))
+    labels = F.array_sort(F.array_distinct(F.transform("base", lambda d: d["label"])))
+    return rows.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(labels, ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    plain = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = docs.select(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+        F.explode(F.array_remove(F.split(plain, "[^a-z\u00c0-\u00ff]+"), "")).alias("run"),
+    )
+    h = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = (h % F.length("run")).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    return spelling.variants(spelling.counted(runs.select(F.when(h % 97 == 0, less).otherwise(F.col("run")).alias("word"))))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_secret_scans, op2_substring_dedup, op3_quality_rules, op4_warc, op5_mixing, op6_url_filters,
-        op7_decontamination, op8_simhash, op9_toxicity, op10_html_extraction,
+        op7_decontamination, op8_simhash, op9_toxicity, op10_html_extraction, op11_periodic_runs, op12_license_scans,
+        op13_spelling_variants,
     )
 }
 
