@@ -3,97 +3,53 @@
 A table has no row order, so an order key is required: one or more columns, not NULL, that
 together are unique within a split. The limit is turned into a cut, the N-th smallest key,
 and applied as `key <= cut`. Only keys are ranked; payloads are neither sorted nor shuffled,
-and on a single-column key the cut reaches the Parquet scan and skips row groups.
+and on a single-column key the largest cut reaches the Parquet scan and skips row groups.
 """
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Keys that one task may count one by one; above, they are narrowed down by ranks first.
-COUNTED = 100_000
-
-# Groups among which keys are ranked to narrow them down.
-GROUPS = 256
-
 
 def _key(order_by: str | Sequence[str]) -> Column:
     names = [order_by] if isinstance(order_by, str) else list(order_by)
     return F.col(names[0]) if len(names) == 1 else F.struct(*names)
 
 
-def _group(groups: int) -> Column:
-    """A group number that is as good as random, so each group is an even sample of the keys."""
-    return F.pmod(F.xxhash64("key"), F.lit(groups))
+def _name(split: Column) -> Column:
+    """A key for maps: the split with a sign before it, or the empty text for rows without a split."""
+    return F.coalesce(F.concat(F.lit("="), split.cast("string")), F.lit(""))
 
 
-def _lowest(keys: DataFrame, n: int) -> DataFrame:
-    """The keys up to a bound that more than `n` keys reach: some n * ln(n) of them.
-
-    The bound is the largest of the smallest keys of n + 1 groups. If a group is empty the
-    table is of that size itself. One hash aggregation finds it; nothing is sorted.
-    """
-    smallest = keys.groupBy(_group(n + 1).alias("group")).agg(F.min("key").alias("key"))
-    bound = smallest.agg(F.when(F.count("*") == n + 1, F.max("key"))).scalar()
-    return keys.filter(F.coalesce(F.col("key") <= bound, F.lit(True)))
+def _as_map(rows: DataFrame, value: str) -> Column:
+    """`name` -> `value` of all rows, one for each split, as a scalar subquery."""
+    return rows.agg(F.map_from_entries(F.collect_list(F.struct("name", value)))).scalar()
 
 
-def _between(keys: DataFrame, n: int, groups: int) -> tuple[DataFrame, Column]:
-    """Keys up to an upper bound of the cut, and a lower bound of it. For n >= groups.
-
-    With share = n / groups, rounded down: fewer than n keys lie below the smallest of the
-    groups' keys of rank `share`, and more than n keys reach the largest of their keys of
-    rank `share` + 1, provided every group has one.
-    """
-    share, key = n // groups, F.col("key")
-    in_group = Window.partitionBy(_group(groups)).orderBy("key")
-    ranked = keys.withColumn("rank", F.row_number().over(in_group)).filter(F.col("rank") <= share + 1)
-    at, above = (F.when(F.col("rank") == rank, key) for rank in (share, share + 1))
-    bounds = ranked.agg(
-        F.struct(
-            F.min(at).alias("low"), F.when(F.count(above) == groups, F.max(above)).alias("high")
-        )
-    ).scalar()
-    return keys.filter(F.coalesce(key <= bounds["high"], F.lit(True))), bounds["low"]
-
-
-def cut_key(
-    df: DataFrame,
-    n: int,
-    order_by: str | Sequence[str],
-    counted: int = COUNTED,
-    groups: int = GROUPS,
-) -> DataFrame:
-    """One row, one column `cut`: the `n`-th smallest key, or the largest if there are fewer.
+def _cuts(keys: DataFrame, n: int) -> DataFrame:
+    """(`name`, `cut`): of each name the `n`-th smallest `key`, or the largest if it has fewer.
 
-    Exact for any `n`, with no task that orders more than a bounded number of keys: those
-    above an upper bound of the cut are left out, and for a large `n` those below a lower
-    bound are only counted as a whole.
+    One hash aggregation bounds every cut from above: the largest of the smallest keys of n + 1 random
+    groups is a key that more than n keys reach, if every group has one. The keys up to the bounds, some
+    n * ln(n) of each name, are ranked; ranking keeps n + 1 of them in every task before it shuffles.
     """
-    keys = _lowest(df.select(_key(order_by).alias("key")), n)
-    each = F.col("key")
-    if n > counted:
-        keys, low = _between(keys, n, groups)
-        each = F.when(each >= low, each)
-    tally = (
-        keys.groupBy(each.alias("each"))
-        .agg(
-            F.count("*").alias("n"),
-            F.max("key").alias("largest"),
-            F.count_if(F.col("key").isNull()).alias("missing"),
-        )
-        .withColumn("upto", F.sum("n").over(Window.orderBy(F.col("each").asc_nulls_first())))
-    )
-    reached = F.min(F.when(F.col("upto") >= n, F.struct("each", "upto")))
+    group = F.pmod(F.xxhash64("key"), F.lit(n + 1)).alias("group")
+    smallest = keys.groupBy("name", group).agg(F.min("key").alias("key"))
+    bounds = smallest.groupBy("name").agg(F.when(F.count("*") == n + 1, F.max("key")).alias("bound"))
+    near = keys.filter(F.coalesce(F.col("key") <= _as_map(bounds, "bound")[F.col("name")], F.lit(True)))
+    in_split = Window.partitionBy("name").orderBy(F.col("key").asc_nulls_first())
+    ranked = near.withColumn("rank", F.row_number().over(in_split)).filter(F.col("rank") <= n + 1)
+    cut, following = F.max(F.when(F.col("rank") <= n, F.col("key"))), F.max(F.when(F.col("rank") > n, F.col("key")))
     # "first n" is undefined without a key, or with a key shared by rows within and beyond it
     missing = F.raise_error(F.lit("the order key is NULL in some rows"))
     tied = F.raise_error(F.lit(f"the order key is not unique at row {n}"))
-    return tally.agg(
-        F.when(F.sum("missing") > 0, missing)
-        .when(reached["upto"] > n, tied)
-        .otherwise(F.coalesce(reached["each"], F.max("largest")))
-        .alias("cut")
-    )
+    cuts = F.when(F.count_if(F.col("key").isNull()) > 0, missing).when(cut == following, tied).otherwise(cut)
+    return ranked.groupBy("name").agg(cuts.alias("cut"))
+
+
+def cut_key(df: DataFrame, n: int, order_by: str | Sequence[str]) -> DataFrame:
+    """One row, one column `cut`: the `n`-th smallest key, or the largest if there are fewer; NULL without rows."""
+    return _cuts(df.select(F.lit("").alias("name"), _key(order_by).alias("key")), n).agg(F.max("cut").alias("cut"))
 
 
 def within_first(
@@ -101,29 +57,31 @@ def within_first(
     n: int | None,
     order_by: str | Sequence[str],
     splits: Sequence[str | None] | None = None,
-    split_column: str = "split",
+    split_column: str | None = "split",
 ) -> Column:
-    """Predicate on the rows of `df`: among the first `n`, of each named split if any are named.
+    """Predicate on the rows of `df`: among the first `n`, of each split if there is a `split_column`.
 
-    With a limit, None among the names stands for the rows without a split.
+    Named splits alone count, or all if none are named; rows without a split are one more, named None. However many
+    splits there are, their keys are read twice: for the bounds of all cuts, and for the cuts. These
+    come as one map, and their largest besides, so that the scan can pass over row groups with larger keys.
     """
     key = _key(order_by)
-    if splits is None:
+    if split_column is None:
         return key <= cut_key(df, n, order_by).scalar() if n else F.lit(True)
     split = F.col(split_column)
+    named = F.lit(True)
+    if splits is not None:
+        names = [s for s in splits if s is not None]
+        named = F.coalesce(split.isin(names), F.lit(False)) | (split.isNull() if None in splits else F.lit(False))
     if not n:  # 0 and None both mean no limit
-        return split.isin(list(splits))
-    kept = F.lit(False)
-    for name in splits:
-        named = split.isNull() if name is None else split == name
-        cut = cut_key(df.filter(named), n, order_by).scalar()
-        kept = kept | (named & (key <= cut))
-    return kept
+        return named
+    cuts = _cuts(df.filter(named).select(_name(split).alias("name"), key.alias("key")), n)
+    return named & (key <= cuts.agg(F.max("cut")).scalar()) & (key <= _as_map(cuts, "cut")[_name(split)])
 
 
 def first_rows(df: DataFrame, n: int | None, order_by: str | Sequence[str]) -> DataFrame:
     """The first `n` rows of a table; 0 or None keeps all. [L1]"""
-    return df.filter(within_first(df, n, order_by))
+    return df.filter(within_first(df, n, order_by, split_column=None))
 
 
 def first_rows_per_split(
@@ -133,14 +91,7 @@ def first_rows_per_split(
     order_by: str | Sequence[str],
     split_column: str = "split",
 ) -> DataFrame:
-    """The rows of the named splits, or of all, of each the first `n`; 0 or None keeps all. [L1]
-
-    With a limit and no names, the names of the splits are read first; rows without a split are one more.
-    """
-    if splits is None:
-        if not n:
-            return df
-        splits = [name for (name,) in df.select(split_column).distinct().collect()]
+    """The rows of the named splits, or of all, of each the first `n`; 0 or None keeps all. [L1]"""
     return df.filter(within_first(df, n, order_by, splits, split_column))
 
 

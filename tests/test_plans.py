@@ -57,6 +57,22 @@ def test_limit_moves_keys_only_and_reaches_the_scan(spark):
     assert not any("Exchange" in line or "Sort" in line for line in main)
 
 
+@pytest.mark.parametrize("splits", [3, 30])
+def test_limit_of_all_splits_reads_their_keys_twice(spark, tmp_path, splits):
+    """One plan for any number of splits; both scalars take the cuts from one exchange."""
+    path = str(tmp_path / "rows")
+    rows = spark.range(3000).withColumns({"split": F.concat(F.lit("s"), F.col("id") % splits), "load": F.repeat(F.lit("x"), 50)})
+    rows.write.parquet(path)
+    out = limits.first_rows_per_split(spark.read.parquet(path), 5, None, "id")
+    assert out.count() == 5 * splits
+    out.collect()
+    text = plan(out)
+    run = set(re.findall(r"\*\(\d+\) ColumnarToRow\n[^\n]*FileScan parquet (\[[^]]*\])", text))
+    assert len([s for s in run if "load" not in s]) == 2 and len(run) == 3
+    assert "ReusedExchange" in text
+    assert re.search(r"PushedFilters: \[[^]]*LessThanOrEqual\(id,ScalarSubquery", text)
+
+
 def test_stored_statistics_read_one_column(spark, tmp_path):
     root = str(tmp_path / "c")
     catalogue_rows = stand_ins.table(spark, SF_DIR, "documents").select(

@@ -49,25 +49,42 @@ def test_limit_beyond_the_group_limit_threshold(spark):
     assert ids(limits.first_rows_per_split(df, 3000, ("train",), "id")) == list(range(3000))
 
 
-@pytest.mark.parametrize("counted, groups", [(10_000, 1), (0, 1), (0, 3), (0, 16)])
-def test_cut_against_sorting(spark, counted, groups):
-    """With `counted` at 0 the keys are narrowed down by ranks, however few there are."""
-    keys = random.Random(groups).sample(range(100_000), 700)
+def test_cut_against_sorting(spark):
+    keys = random.Random(1).sample(range(100_000), 700)
     df = spark.createDataFrame([(k,) for k in keys], "id long").coalesce(2)
-    for n in (groups, 40, 350, 699, 700, 701, 20_000):
-        expected = sorted(keys)[:n][-1]
-        assert limits.cut_key(df, n, "id", counted, groups).first().cut == expected
+    for n in (1, 2, 40, 350, 699, 700, 701, 20_000):
+        assert limits.cut_key(df, n, "id").first().cut == sorted(keys)[:n][-1]
 
 
-@pytest.mark.parametrize("counted", [0, 10_000])
-def test_cut_among_equal_keys(spark, counted):
+def test_cut_among_equal_keys(spark):
     keys = [1] * 300 + [2] + [3] * 200
     df = spark.createDataFrame([(k,) for k in keys], "id long").coalesce(2)
     for n, cut in ((300, 1), (301, 2), (501, 3), (900, 3)):
-        assert limits.cut_key(df, n, "id", counted, 4).first().cut == cut
+        assert limits.cut_key(df, n, "id").first().cut == cut
     for n in (299, 302, 500):
         with pytest.raises(Exception, match="not unique"):
-            limits.cut_key(df, n, "id", counted, 4).collect()
+            limits.cut_key(df, n, "id").collect()
+
+
+@pytest.mark.parametrize("n", [1, 7, 500, 1200])
+def test_many_splits_of_unequal_size(spark, n):
+    """Thirty splits, one of which holds a third of all rows, and one without a name."""
+    rows = [(k, None if k % 31 == 30 else "hot" if k % 3 == 0 else f"s{k % 31}") for k in random.Random(2).sample(range(50_000), 4000)]
+    df = spark.createDataFrame(rows, "id long, split string").repartition(5)
+    want = [k for s in {s for _, s in rows} for k in sorted(k for k, x in rows if x == s)[:n]]
+    assert ids(limits.first_rows_per_split(df, n, None, "id")) == sorted(want)
+    some = [k for s in ("hot", None) for k in sorted(k for k, x in rows if x == s)[:n]]
+    assert ids(limits.first_rows_per_split(df, n, ("hot", None), "id")) == sorted(some)
+
+
+def test_a_missing_or_tied_key_in_one_split_is_an_error(spark):
+    rows = [(1, "a"), (2, "a"), (2, "a"), (5, "b"), (6, "b")]
+    df = spark.createDataFrame(rows, "id long, split string")
+    with pytest.raises(Exception, match="not unique at row 2"):
+        limits.first_rows_per_split(df, 2, None, "id").collect()
+    assert ids(limits.first_rows_per_split(df, 2, ("b",), "id")) == [5, 6]
+    with pytest.raises(Exception, match="NULL in some rows"):
+        limits.first_rows_per_split(df.union(spark.createDataFrame([(None, "b")], df.schema)), 1, None, "id").collect()
 
 
 def test_tie_at_the_cut_is_an_error(spark):
