@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from catalogue.stand_ins import SPLIT_SQL, audio_cell, split_of, table
 from sonoloom.operators import statistics, tables
 from sonoloom.schema import TARGET
-from sonoloom.sources import scans, sink
+from sonoloom.plans import ingest
+from sonoloom.sources import files, scans, sink
 
 SPLITS = ("train", "validation", "test")
 
@@ -80,6 +81,27 @@ def _skip_corrupt(spark, sf_dir):
     return _rows(scans.read_corpus(spark, root, skip_corrupt=True))
 
 
+def _half_broken(spark, sf_dir) -> str:
+    """A stored corpus with half a Parquet file in one partition, and test files that have no audio_size."""
+    root = sink.scratch_folder(spark)
+    prepared = _prepared(spark, sf_dir)
+    sink.write_corpus(prepared.filter(F.col("split") != "test"), root)
+    sink.write_corpus(tables.where_split(prepared, "test").drop("audio_size"), root)
+    partition = f"{root}/version=0/corpus=src0/split=train/language=en"
+    whole = spark.read.format("binaryFile").load(partition)
+    half = whole.select(F.expr("substring(content, 1, length(content) div 2)").cast("string").alias("value")).limit(1)
+    half.write.text(f"{root}-half")
+    spark.read.text(f"{root}-half", wholetext=True).write.mode("append").text(partition)
+    return root
+
+
+def _skipped(spark, sf_dir):
+    """Reason and rows of the files that are passed over, by the partition that their paths name."""
+    found = files.skipped_files(spark, _half_broken(spark, sf_dir))
+    level = {c: F.regexp_extract("file", f"/{c}=([^/]*)/", 1).alias(c) for c in ("corpus", "split", "language")}
+    return found.groupBy(*level.values(), "reason").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 def _skip_missing(spark, sf_dir):
     """A stored corpus whose test files have no audio_size."""
     root = sink.scratch_folder(spark)
@@ -143,6 +165,18 @@ QUERIES = {
         " CASE WHEN split = 'test' THEN audio_size + 1 ELSE audio_size END AS audio_size FROM prepared",
     ),
     "scan_skip_corrupt": (_skip_corrupt, f"WITH {_PREPARED_SQL} SELECT * FROM prepared"),
+    "skipped_files": (
+        _skipped,
+        f"""WITH {_PREPARED_SQL}
+SELECT corpus, split, language, 'no audio_size' AS reason, count(*) AS rows FROM prepared WHERE split = 'test'
+GROUP BY corpus, split, language
+UNION ALL SELECT 'src0', 'train', 'en', 'no readable footer', 0""",
+    ),
+    "stats_skip_corrupt": (
+        lambda spark, sf_dir: ingest.stored_report(spark, _half_broken(spark, sf_dir), skip_corrupt=True),
+        f"WITH {_PREPARED_SQL} SELECT corpus, language, split, {_COUNTS}, CAST(grouping(corpus) AS INTEGER) AS is_total"
+        " FROM prepared WHERE split <> 'test' GROUP BY GROUPING SETS ((corpus, language, split), ())",
+    ),
     "stats_skip_missing": (
         _skip_missing,
         f"{_GROUPS_SQL} WHERE split <> 'test' GROUP BY corpus, language, split",

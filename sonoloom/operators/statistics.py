@@ -59,6 +59,13 @@ def statistics_report(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
     return lines.unionByName(_total(sums, rate).withColumn("is_total", F.lit(1)))
 
 
+def report_of_sums(df: DataFrame, rows: str, samples: str, rate: int = V.TARGET_RATE) -> DataFrame:
+    """The same report from rows that are counts and sums already, such as those of whole files. [G3]"""
+    sums = df.groupBy(*LEVELS).agg(F.sum(rows).alias("n"), F.sum(samples).alias("s"))
+    lines = sums.select(*LEVELS, F.col("n").alias("num_samples"), hours(F.col("s"), rate).alias("duration_hours"))
+    return lines.withColumn("is_total", F.lit(0)).unionByName(_total(sums, rate).withColumn("is_total", F.lit(1)))
+
+
 def statistics_rollup(df: DataFrame, rate: int = V.TARGET_RATE) -> DataFrame:
     """The statistics at every level: 0 split, 1 language, 3 corpus, 7 total. [G4]"""
     sums = _sums(df)

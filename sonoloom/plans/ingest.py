@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sonoloom import fixed_values as V
 from sonoloom.functions import text as tx
 from sonoloom.operators import limits, statistics, tables
-from sonoloom.sources import scans, sink
+from sonoloom.sources import files, scans, sink
 
 
 def ingest(
@@ -82,17 +82,13 @@ def prepare_corpus(prepared: DataFrame, root: str, version: int = 0, **sink_opti
     return stored_report(prepared.sparkSession, root, version)
 
 
-def files_without_rows(spark, root: str, version: int = 0) -> DataFrame:
-    """The files of a stored corpus of which a report with `skip_corrupt` counts no row: unreadable, or empty."""
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        .load(f"{root}/version={version}").select("path")
-    )
-    stored = scans.read_corpus(spark, root, skip_corrupt=True, version=version)
-    return listed.join(stored.select(F.col("_metadata.file_path").alias("path")).distinct(), "path", "left_anti")
-
-
 def stored_report(spark, root: str, version: int = 0, skip_corrupt: bool = False) -> DataFrame:
-    """Statistics lines and TOTAL of a stored corpus; `skip_corrupt` passes over unreadable files. [C4]"""
-    stored = scans.read_corpus(spark, root, skip_corrupt=skip_corrupt, version=version)
-    return statistics.statistics_report(stored)
+    """Statistics lines and TOTAL of a stored corpus. [C4]
+
+    With `skip_corrupt` a file that cannot be read in full is passed over as a whole; `files.skipped_files`
+    names those files with the reason.
+    """
+    if skip_corrupt:
+        whole = files.file_states(spark, root, version).where("reason is null")
+        return statistics.report_of_sums(whole, "rows", "samples")
+    return statistics.statistics_report(scans.read_corpus(spark, root, version=version))

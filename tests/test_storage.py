@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sonoloom.plans import ingest
 from sonoloom.schema import AUDIO_CELL, RAW_TRANSCRIPTS
-from sonoloom.sources import scans, sink
+from sonoloom.sources import files as stored_files, scans, sink
 
 
 def prepared(spark, n=1000, split="train", corpus="c", size=160):
@@ -84,11 +84,34 @@ def test_unreadable_files_are_skipped_on_request(spark, root):
     with open(damaged, "wb") as out:
         out.write(b"not parquet")
     assert scans.read_corpus(spark, root, skip_corrupt=True).count() == 10
-    assert [r.path.split("/")[-1] for r in ingest.files_without_rows(spark, root).collect()] == ["damaged.parquet"]
     with pytest.raises(Exception):
         scans.read_corpus(spark, root).select("text").collect()
 
 
+def test_a_file_counts_wholly_or_not_at_all(spark, root):
+    """Not Parquet, empty, cut short, damaged in the last of its row groups: all are named, none counts in part."""
+    rows = prepared(spark, n=1000).withColumn("audio_size", F.xxhash64("text") % 1000 + 1000)
+    sink.write_corpus(rows.coalesce(1), root, dictionary=False)
+    (whole,) = files(root)
+    folder = whole.rsplit("/", 1)[0]
+    data = open(whole, "rb").read()
+    chunk = pq.ParquetFile(whole).metadata.row_group(9).column(2)
+    assert chunk.path_in_schema == "audio_size"
+    at = chunk.data_page_offset + chunk.total_compressed_size - 200
+    contents = {"a b%20c": b"not parquet", "nothing": b"", "short": data[: len(data) // 2], "bad": data[:at] + bytes(150) + data[at + 150 :]}
+    for name, content in contents.items():
+        with open(f"{folder}/{name}.parquet", "wb") as out:
+            out.write(content)
+    found = {r.file.rsplit("/", 1)[1]: (r.reason, r.rows) for r in stored_files.skipped_files(spark, root).collect()}
+    assert found == {
+        "a%20b%2520c.parquet": ("no readable footer", None),
+        "short.parquet": ("no readable footer", None), "bad.parquet": ("damaged data", 1000),
+    }
+    total = rows.agg(F.sum("audio_size")).first()[0]
+    report = ingest.stored_report(spark, root, skip_corrupt=True).collect()
+    assert [(r.num_samples, r.duration_hours) for r in report] == [(1000, total / 16000 / 3600)] * 2
+
+
 def test_read_split(spark, root):
     rows = spark.range(4).select(
         F.struct(F.lit(b"x").alias("bytes"), F.lit("p").alias("path")).alias("audio"),
