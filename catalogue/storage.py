@@ -81,6 +81,21 @@ def _skip_corrupt(spark, sf_dir):
     return _rows(scans.read_corpus(spark, root, skip_corrupt=True))
 
 
+#: Size of the files into which placed rows go.
+_FILE_BYTES = 20_000
+
+
+def _placed(spark, sf_dir):
+    """Rows of each partition, and whether it has no more files than its bytes fill."""
+    root = sink.scratch_folder(spark)
+    sink.write_corpus(_prepared(spark, sf_dir), root, file_bytes=_FILE_BYTES)
+    stored = scans.read_corpus(spark, root).withColumn("weight", F.octet_length("text") + F.octet_length("audio_bytes"))
+    return stored.groupBy("corpus", "split", "language").agg(
+        F.count("*").alias("rows"),
+        (F.count_distinct("_metadata.file_path") <= F.ceil(F.sum("weight") / _FILE_BYTES)).alias("fits"),
+    )
+
+
 def _half_broken(spark, sf_dir) -> str:
     """A stored corpus with half a Parquet file in one partition, and test files that have no audio_size."""
     root = sink.scratch_folder(spark)
@@ -165,6 +180,11 @@ QUERIES = {
         " CASE WHEN split = 'test' THEN audio_size + 1 ELSE audio_size END AS audio_size FROM prepared",
     ),
     "scan_skip_corrupt": (_skip_corrupt, f"WITH {_PREPARED_SQL} SELECT * FROM prepared"),
+    "placed_files": (
+        _placed,
+        f"WITH {_PREPARED_SQL} SELECT corpus, split, language, count(*) AS rows, true AS fits FROM prepared"
+        " GROUP BY corpus, split, language",
+    ),
     "skipped_files": (
         _skipped,
         f"""WITH {_PREPARED_SQL}

@@ -2,7 +2,8 @@
 
 Each job is one lazy plan. Cheap steps come first: attribute filter, first-N cut, text; audio
 is processed, and files that cells name are read, only for the rows that are left. All splits
-run together. `audio_root` is where relative paths of audio files start.
+run together. `audio_root` is where relative paths of audio files start. With `file_bytes` rows are sent to the
+task that writes their file before their audio is read, see `sink.placed`.
 """
 
 from collections.abc import Sequence
@@ -27,11 +28,12 @@ def ingest(
     rate: int = V.TARGET_RATE,
     split_column: str = "split",
     audio_root: str | None = None,
+    file_bytes: int = 0,
 ) -> DataFrame:
     """Corpus rows with normalised text: lower case, no punctuation, no digit-only text. [C1]"""
     rows = limits.first_rows_per_split(df, max_samples, splits, order_by, split_column)
     text = tx.normalise_or_empty(F.col(text_column), language, drop_digit_only=True)
-    return _finish(rows, text, corpus, language, audio_column, split_column, rate, audio_root)
+    return _finish(rows, text, corpus, language, audio_column, split_column, rate, audio_root, file_bytes)
 
 
 def ingest_transcripts(
@@ -48,16 +50,17 @@ def ingest_transcripts(
     rate: int = V.TARGET_RATE,
     split_column: str = "split",
     audio_root: str | None = None,
+    file_bytes: int = 0,
 ) -> DataFrame:
     """Corpus rows of one state with cleaned transcripts, their punctuation kept. [C2]"""
     rows = tables.where_equal(df, state_column, state)
     rows = limits.first_rows_per_split(rows, max_samples, splits, order_by, split_column)
     text = tx.clean_transcript(F.col(text_column))
-    return _finish(rows, text, corpus, language, audio_column, split_column, rate, audio_root)
+    return _finish(rows, text, corpus, language, audio_column, split_column, rate, audio_root, file_bytes)
 
 
-def _finish(df, text, corpus, language, audio_column, split_column, rate, audio_root) -> DataFrame:
-    """Drop rows without text, then process the audio of the others."""
+def _finish(df, text, corpus, language, audio_column, split_column, rate, audio_root, file_bytes) -> DataFrame:
+    """Drop rows without text, then process the audio of the others; `file_bytes` places them for the sink before."""
     constants = {
         name: value if isinstance(value, Column) else F.lit(value)
         for name, value in (("corpus", corpus), ("language", language))
@@ -68,6 +71,8 @@ def _finish(df, text, corpus, language, audio_column, split_column, rate, audio_
         *(value.alias(name) for name, value in constants.items()),
         tables.if_not_empty(text).alias("text"),
     )
+    if file_bytes:
+        rows = sink.placed(rows, sink.cell_bytes(tables.audio_cell(rows, "audio")), file_bytes)
     return tables.conform(tables.process_audio(rows, "audio", rate, audio_root))
 
 

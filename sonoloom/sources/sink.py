@@ -2,13 +2,46 @@
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sonoloom import fixed_values as V
 from sonoloom.schema import PARTITIONS
 
 
+def cell_bytes(cell: Column) -> Column:
+    """What an audio cell of all forms weighs before it is processed: its bytes, else its samples; a file not read yet counts 1."""
+    samples = F.when(cell["array"].isNotNull(), 4 * F.size(cell["array"]))
+    return F.coalesce(F.octet_length(cell["bytes"]), samples, F.lit(1))
+
+
+def placed(
+    df: DataFrame, weight: Column, file_bytes: int, by: Sequence[str] = PARTITIONS[1:]
+) -> DataFrame:
+    """The rows of `df`, each sent once to the task that will write its file. [K1]
+
+    A first pass over `by` and `weight` alone adds up what each partition of the corpus weighs; a partition gets as many
+    files of `file_bytes` as its weight fills, the last one in part. Rows are dealt among the files of their
+    partition at random, and a file is a task. Place rows before their audio is read and the audio is never shuffled.
+    """
+    sums = df.select(*by, weight.alias("_weight")).groupBy(*by).agg(F.sum("_weight").alias("_weight"))
+    sums = sums.select(*by, F.greatest(F.ceil(F.col("_weight") / file_bytes), F.lit(1)).alias("_files"))
+    plan = sums.collect()  # one row for each directory that will be written
+    spark = df.sparkSession
+    before, numbered = 0, []
+    for row in plan:
+        numbered.append((*row, before))
+        before += row["_files"]
+    schema = ", ".join([*(f"_{c} {df.schema[c].dataType.simpleString()}" for c in by), "_files bigint", "_first bigint"])
+    files = spark.createDataFrame(numbered, schema)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_files"))
+    rows = df.join(files, same).withColumn("_file", (F.col("_first") + dealt).cast("int"))
+    return rows.repartitionById(max(1, before), F.col("_file")).select(*df.columns)
+
+
 def write_corpus(
     df: DataFrame,
     root: str,
@@ -17,6 +50,7 @@ def write_corpus(
     rows_per_group: int = V.ROWS_PER_GROUP,
     rows_per_file: int = 0,
     rebalance: bool = False,
+    file_bytes: int = 0,
 ) -> None:
     """Write under version=/corpus=/split=/language=; partitions with new rows are replaced. [K1-K5]
 
@@ -25,7 +59,11 @@ def write_corpus(
     split size of the scan bounds the number of tasks, and `rows_per_file` the length of files.
     `rebalance` shuffles all rows instead and gathers each partition into files of the advisory size:
     small partitions share a task, and one that holds most of the rows is divided among many.
+    `file_bytes` shuffles them once as well, into files of that size before compression; `placed` does that before
+    the audio is there.
     """
+    if file_bytes:
+        df = placed(df, F.octet_length("audio_bytes") + F.octet_length("text"), file_bytes)
     df = df.withColumn("version", F.lit(version))
     if rebalance:
         df = df.hint("rebalance", *PARTITIONS)

@@ -123,6 +123,38 @@ def test_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     assert {r.language: (r.files > 2, r.n) for r in files.collect()} == {"en": (True, 39_200), "de": (False, 800)}
 
 
+def test_files_follow_the_bytes_of_their_partition(spark, tmp_path):
+    """A partition has the files that its bytes fill; each is written by one task, and rows are sent once."""
+    root = str(tmp_path / "placed")
+    rows = spark.range(20_000).repartition(8).select(
+        F.concat(F.lit("text "), "id").alias("text"), F.repeat(F.lit("x"), 100).cast("binary").alias("audio_bytes"),
+        F.lit(1).cast("long").alias("audio_size"), F.lit("c").alias("corpus"), F.lit("train").alias("split"),
+        F.when(F.col("id") % 50 == 0, "de").when(F.col("id") % 50 == 1, None).otherwise("en").alias("language"),
+    )
+    weight = F.octet_length("audio_bytes") + F.octet_length("text")
+    out = sink.placed(rows, weight, 200_000)
+    text = plan(out)
+    assert len(re.findall(r"Exchange (?!Round)\S*[^\n]*REPARTITION_BY_NUM", text)) == 1 and "SortMergeJoin" not in text
+    sink.write_corpus(rows, root, file_bytes=200_000)
+    files = scans.read_corpus(spark, root).groupBy("language").agg(
+        F.count_distinct("_metadata.file_path").alias("files"), F.count("*").alias("n"), F.sum(weight).alias("w")
+    )
+    got = {r.language: r for r in files.collect()}
+    assert {k: r.n for k, r in got.items()} == {"en": 19_200, "de": 400, None: 400}
+    assert all(r.files == -(-r.w // 200_000) for r in got.values()) and got["en"].files > 10
+
+
+def test_rows_are_placed_before_their_audio_is_read(spark):
+    from sonoloom.plans import ingest
+
+    rows = stand_ins.speech(spark, SF_DIR)
+    out = ingest.ingest(rows, F.col("corpus"), F.col("language"), "doc_id", text_column="transcript", file_bytes=100_000)
+    text = plan(out)
+    audio = text.index("ArrowEvalPython")
+    assert "REPARTITION_BY_NUM" not in text[:audio] and "REPARTITION_BY_NUM" in text[audio:]
+    assert out.count() == ingest.ingest(rows, F.col("corpus"), F.col("language"), "doc_id", text_column="transcript").count()
+
+
 def test_hot_path_is_divided(spark, tmp_path):
     """Most rows name one file; adaptive execution splits them over tasks."""
     for i in range(20):
