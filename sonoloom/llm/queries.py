@@ -33,9 +33,10 @@ def _joined(spans: Column) -> Column:
     )
 
 
-def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op1_secret_scans(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """With the `ledger` of an earlier run only texts and rule versions that it lacks are scanned."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ledger = shared_folder(spark)
+    ledger = ledger or shared_folder(spark)
     secrets.update_ledger(docs, ledger)
     found = secrets.findings(docs, ledger)
 

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sonoloom.llm.common import written
+
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 _LEDGER = f"blob binary, rules array<string>, spans {SPANS}"
 
@@ -116,16 +118,19 @@ def findings(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES) ->
     wanted = F.array(*[F.lit(r.version) for r in rules])
     kinds = F.transform("rules", lambda r: F.when(F.array_contains(wanted, r), F.substring_index(r, "@", 1)))
     valid = F.filter("spans", lambda s: F.array_contains(kinds, s["kind"]))
+    present = versions.select(blob_id(F.col("text")).alias("blob")).distinct()
     known = (
         _entries(versions.sparkSession, path)
+        .join(present, "blob", "left_semi")
         .select("blob", valid.alias("spans"))
         .groupBy("blob")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))  # the spans of one text
+        .agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))  # the spans of one text, a scan recorded twice once
     )
     placed = F.sort_array(
         F.transform("spans", lambda s: F.struct(s["start"].alias("at"), order[s["kind"]].alias("kind"), s.alias("span")))
     )
-    sorted_spans = known.select(F.col("blob").alias("b"), F.transform(placed, lambda p: p["span"]).alias("spans"))
+    # Written, so that it is no aggregation in the join: adaptive execution then splits a blob with very many paths.
+    sorted_spans = written(known.select(F.col("blob").alias("b"), F.transform(placed, lambda p: p["span"]).alias("spans")))
     rows = versions.select(
         F.struct(*[F.col(f"`{c}`") for c in versions.columns]).alias("row"), blob_id(F.col("text")).alias("blob")
     )
