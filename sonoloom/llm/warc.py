@@ -35,7 +35,7 @@ def with_record_types(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload")).withColumns(
         {"key": F.unhex(F.sha2("payload", 256)), "digest": F.sha1("payload")}
     )
-    last = (
+    last = written(  # a table, no aggregation, in the join: a payload of very many pages can then be split
         pages.select("page_id", payload.alias("payload"))
         .where(F.octet_length("payload") >= least_bytes)
         .groupBy(F.unhex(F.sha2("payload", 256)).alias("k"))
@@ -144,11 +144,15 @@ def _read_member(handle, at: int, size: int) -> tuple[bytes, int] | None:
     return b"".join(parts), position - len(inflate.unused_data)
 
 
-def _parsed(content: bytes) -> dict:
+def _parsed(content: bytes) -> dict | None:
+    """The record's fields; None if it lacks its length, type or id."""
     head, _, block = content.partition(b"\r\n\r\n")
     lines = [line.partition(b":") for line in head.split(b"\r\n")[1:]]
     fields = {k.strip().lower(): v.strip().decode("utf-8", "replace") for k, _, v in lines}
-    block = block[: int(fields[b"content-length"])]
+    length = fields.get(b"content-length", "")
+    if not (length.isascii() and length.isdigit() and b"warc-type" in fields and b"warc-record-id" in fields):
+        return None
+    block = block[: int(length)]
     revisit = fields[b"warc-type"] == "revisit"
     return {
         "record_type": fields[b"warc-type"],
@@ -160,15 +164,21 @@ def _parsed(content: bytes) -> dict:
     }
 
 
-def read_archives(files: DataFrame, split_bytes: int = 8 << 20, batch_bytes: int = 16 << 20) -> DataFrame:
+def read_archives(
+    files: DataFrame, split_bytes: int = 8 << 20, batch_bytes: int = 16 << 20, most_tasks: int = 100_000
+) -> DataFrame:
     """The records of the archives (`file`, `bytes`), whatever wrote them, read in ranges of `split_bytes`.
 
     Each range is a task's row: it looks for gzip magic, takes a candidate for a member if its first bytes
     decode to a WARC version line and it decodes to its end, and owns the records that start inside; the
-    last one may end beyond. Damaged bytes are skipped up to the next good member. A revisit has no payload.
+    last one may end beyond. Damaged bytes are skipped up to the next good member, and so are records that lack
+    their length, type or id. A revisit has no payload. There is a task for each range, up to `most_tasks`.
     """
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long")))
-    ranges = files.where("bytes > 0").select("file", "bytes", starts.alias("start")).repartition("file", "start")
+    ranges = files.where("bytes > 0").select("file", "bytes", starts.alias("start"))
+    # Ranges are small rows, which adaptive execution would put into one task if it were free to.
+    tasks = files.where("bytes > 0").agg(F.sum(F.ceil(F.col("bytes") / split_bytes))).first()[0]
+    ranges = ranges.repartition(max(1, min(tasks or 1, most_tasks)))
     names = [part.split()[0] for part in _RECORD.split(", ")]
 
     def read(batches):
@@ -183,7 +193,8 @@ def read_archives(files: DataFrame, split_bytes: int = 8 << 20, batch_bytes: int
                         if member is None:
                             at = hit + 1
                             continue
-                        rows.append({"file": task["file"], "offset": hit, **_parsed(member[0])})
+                        if (record := _parsed(member[0])) is not None:
+                            rows.append({"file": task["file"], "offset": hit, **record})
                         at, held = member[1], held + len(member[0])
                         if held >= batch_bytes:
                             yield _batch(rows)
@@ -217,7 +228,7 @@ def resolved(records: DataFrame) -> DataFrame:
         F.when(F.col("payload").isNull(), F.col("digest")).otherwise(F.sha1("payload")).alias("payload_digest"),
     )
     table = written(rows)
-    lengths = (
+    lengths = written(
         table.where("record_type = 'response'")
         .groupBy(F.col("payload_digest").alias("d"))
         .agg(F.max("own_bytes").alias("full_bytes"))
