@@ -4,24 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 
+from sonoloom.llm.periodic import suffix_order
+
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Order of the suffixes by prefix doubling; each 0 is a separator of its own, ordered by place."""
+    """Order of the suffixes; each 0 is a separator of its own, ordered by place."""
     separators = np.flatnonzero(symbols == 0)
-    rank = symbols.astype(np.int64) + len(separators) - 1
-    rank[separators] = np.arange(len(separators))
-    n, step = len(symbols), 1
-    while True:
-        ahead = np.zeros(n, np.int64)
-        ahead[:-step or None] = rank[step:] + 1 if step < n else 0
-        key = rank * (n + len(separators) + int(symbols.max(initial=0)) + 2) + ahead
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        if rank[order[-1]] == n - 1 or step >= n:
-            return order
-        step *= 2
+    own = symbols.astype(np.int64) + len(separators) - 1
+    own[separators] = np.arange(len(separators))
+    return suffix_order(own, np.zeros(len(own), np.int64))
 
 
 class BitVector:

@@ -150,7 +150,8 @@ def candidates(docs: DataFrame, window: int, gram: int) -> DataFrame:
     texts = docs.where("text is not null").select(content_key("text").alias("key"), "text")
     texts = texts.groupBy("key").agg(F.first("text").alias("text"))
     runs = texts.mapInArrow(_runs_of(window, gram), "key binary, anchor bigint, start int, n int")
-    again = runs.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1")
+    # Written, so that it is no aggregation in the join: adaptive execution then splits an anchor of very many runs.
+    again = written(runs.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1"))
     lists = (
         runs.join(again, "anchor")
         .groupBy("key")
@@ -160,7 +161,7 @@ def candidates(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def repeated_intervals(
-    found: DataFrame, window: int = 35, hot: int = 4000, shard_words: int = 200_000
+    found: DataFrame, window: int = 35, hot: int = 4000, shard_words: int = 600_000
 ) -> DataFrame:
     """(`key`, `start`, `n`): n windows from word `start` of a candidate text whose words occur elsewhere too.
 
@@ -231,8 +232,10 @@ def deduplicated(docs: DataFrame, window: int = 35, gram: int = 10, **options) -
     copies = docs.where("text is not null").groupBy(content_key("text").alias("c")).count().where("count > 1").select("c")
     rows = packed(docs).select(
         "row", content_key("row.text").alias("key"), F.trim(F.regexp_replace(F.coalesce("row.text", F.lit("")), r"[\x20\x09-\x0D]+", " ")).alias("all"),
-        F.regexp_count(F.coalesce("row.text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"),
-    ).withColumn("all_digest", _digest(F.col("all")))
+    )
+    spaces = F.octet_length("all") - F.octet_length(F.replace("all", F.lit(" "), F.lit("")))
+    n_words = F.when(F.col("all") == "", F.lit(0)).otherwise(spaces + 1).cast("long")
+    rows = rows.select("row", "key", "all", n_words.alias("n_words"), _digest(F.col("all")).alias("all_digest"))
     joined = rows.join(cut, F.col("key") == F.col("k"), "left").join(copies, F.col("key") == F.col("c"), "left")
     twice = F.col("c").isNotNull() & (F.col("n_words") >= window)
     empty = F.lit(hashlib.sha256().hexdigest())
