@@ -110,7 +110,6 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@F.arrow_udf("string")
 def _planted(texts: pa.Array, numbers: pa.Array) -> pa.Array:
     """Texts whose words repeat with a period from some word on, both set by a number."""
     out = []
@@ -129,7 +128,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     chosen = h % 10 == 0
-    text = F.when(chosen, _planted(F.when(chosen, F.col("text")), F.floor(h / 10))).otherwise(F.col("text"))
+    planted = F.arrow_udf(_planted, "string")(F.when(chosen, F.col("text")), F.floor(h / 10))
+    text = F.when(chosen, planted).otherwise(F.col("text"))
     rows = periodic.collapsed(docs.select("doc_id", text.alias("text")))
     longest = F.aggregate(
         "runs", F.lit(None).cast(periodic.RUN),

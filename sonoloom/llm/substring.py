@@ -150,8 +150,8 @@ def candidates(docs: DataFrame, window: int, gram: int) -> DataFrame:
     texts = docs.where("text is not null").select(content_key("text").alias("key"), "text")
     texts = texts.groupBy("key").agg(F.first("text").alias("text"))
     runs = texts.mapInArrow(_runs_of(window, gram), "key binary, anchor bigint, start int, n int")
-    # Written, so that it is no aggregation in the join: adaptive execution then splits an anchor of very many runs.
-    again = written(runs.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1"))
+    # Dealt anew, so that it is no aggregation in the join: adaptive execution then splits an anchor of very many runs.
+    again = runs.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1").repartition(F.xxhash64("anchor"))
     lists = (
         runs.join(again, "anchor")
         .groupBy("key")
