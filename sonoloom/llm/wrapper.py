@@ -42,8 +42,10 @@ NOT_CONTENT_WORDS = frozenset(
 NOT_CONTENT_NAMES = frozenset(
     "sponsor promo promotion banner cookie cookies consent popup modal overlay subscribe subscription sidebar menu nav "
     "navigation footer header masthead respond replies social share sharing related recommended widget pager skip "
-    "toolbar login signup".split()
+    "toolbar login signup notice notices".split()
 )
+#: Articles of these classes announce others.
+_TEASERS = frozenset("teaser teasers".split())
 _PLACES = frozenset(
     "left right top bottom upper lower primary secondary main site global mobile desktop wrapper container area box "
     "block section bar list links link buttons inner outer to".split()
@@ -60,9 +62,8 @@ _ENDS = {
     "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
     "tr": ("tr td th", {"table"}), "option": ("option", {"select"}),
 }
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.DOTALL
-)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)|<[!?][^>]*>|[^<]+|<", re.DOTALL)
+_MARK = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORDS = re.compile(r"[a-z0-9]+")
 _NUMBER = re.compile(r"[0-9]+")
@@ -98,7 +99,9 @@ def _is_name_out(name: str, in_article: bool) -> bool:
 
 
 def _named_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
-    if tag in NOT_CONTENT:
+    if tag in NOT_CONTENT and not (tag == "header" and in_article):
+        return True
+    if tag == "article" and not _TEASERS.isdisjoint(_WORDS.findall(attributes.get("class", "").lower())):
         return True
     if not attributes or tag in ("html", "body", "article", "main") and "comment" not in attributes.get("class", ""):
         return False
@@ -106,15 +109,41 @@ def _named_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     return any(_is_name_out(x, in_article) for x in names) or attributes.get("role", "").lower() in NOT_CONTENT_ROLES
 
 
-def _let_in(node: Node, kept_out: frozenset[str], in_article: bool = False) -> bool:
-    """Lets elements in, in place, that are named out but hold an article or main; true if there is one in `node`.
+def _in_order(root: Node) -> list[tuple[Node, bool]]:
+    """Every block with whether it is in an article that is not named out, parents first; as deep as it may be."""
+    out, at = [(root, False)], 0
+    while at < len(out):
+        node, inside = out[at]
+        inside = inside or node.tag == "article" and not node.named_out
+        out += [(x, inside) for x in node.blocks()]
+        at += 1
+    return out
+
+
+def _let_in(root: Node, kept_out: frozenset[str]) -> bool:
+    """Lets elements in, in place, that are named out but hold an article or main; true if there is one in `root`.
 
     Articles within an article are comments or teasers, and let nothing in.
     """
-    found = [_let_in(x, kept_out, in_article or node.tag == "article" and not node.named_out) for x in node.blocks()]
-    if node.named_out and any(found) and not in_article and node.tag not in kept_out:
-        node.named_out = False
-    return not node.named_out and (any(found) or _is_article(node))
+    holds: set[int] = set()
+    for node, in_article in reversed(_in_order(root)):
+        within = any(id(x) in holds for x in node.blocks())
+        if node.named_out and within and not in_article and node.tag not in kept_out:
+            node.named_out = False
+        if not node.named_out and (within or _is_article(node)):
+            holds.add(id(node))
+    return id(root) in holds
+
+
+def _tag_end(text: str, at: int) -> int:
+    """Where the > of the tag is whose name ends at `at`, behind all quoted values; -1 if the text ends in it."""
+    while m := _MARK.search(text, at):
+        if m[0] == ">":
+            return m.start()
+        at = text.find(m[0], m.end()) + 1
+        if not at:
+            return -1
+    return -1
 
 
 def parse(text: str) -> Node:
@@ -122,6 +151,7 @@ def parse(text: str) -> Node:
     root = Node("", "", False)
     # (tag, element that its text goes to, whether it is in an article)
     stack: list[tuple[str, Node, bool]] = [("", root, False)]
+    open_tags: Counter[str] = Counter()
     position, end = 0, len(text)
     while position < end:
         m = _TOKEN.match(text, position)
@@ -132,16 +162,19 @@ def parse(text: str) -> Node:
             if not piece.startswith(("<!", "<?")):
                 stack[-1][1].items.append(entities.unescape(piece) if "&" in piece else piece)
             continue
-        tag = tag.lower()
+        tag, close = tag.lower(), _tag_end(text, position)
+        if close < 0:  # the page ends within a tag
+            break
+        tail, position = text[position:close], close + 1
         if m[1]:
-            _close(stack, tag)
+            _close(stack, open_tags, tag)
             continue
-        attributes = _attributes(m[3])
+        attributes = _attributes(tail)
         if tag in BLOCKS:
-            if any(t == "p" for t, *_ in stack[1:]) and tag not in ("option", "optgroup"):
-                _close(stack, "p")
+            if tag not in ("option", "optgroup"):
+                _close(stack, open_tags, "p")
             if tag in _ENDS:
-                _end_open(stack, *_ENDS[tag])
+                _end_open(stack, open_tags, *_ENDS[tag])
         out = _named_out(tag, attributes, stack[-1][2])
         if tag in BLOCKS or out:
             mark = tag if tag in ("html", "body", "p") else f"{tag}.{attributes.get('class', '')}"
@@ -151,34 +184,45 @@ def parse(text: str) -> Node:
             node = stack[-1][1]
             if tag == "br":
                 node.items.append(" ")
-        if tag in RAW and not m[3].endswith("/"):
+        if tag in RAW and not tail.endswith("/"):
             close = re.compile(rf"</{tag}\s*/?>", re.IGNORECASE).search(text, position)
             position = close.end() if close else end
-        elif tag not in VOID and not (m[3].endswith("/") and tag in ("path", "use", "circle", "rect")):
+        elif tag not in VOID and not (tail.endswith("/") and tag in ("path", "use", "circle", "rect")):
             stack.append((tag, node, stack[-1][2] or tag in ("article", "main")))
+            open_tags[tag] += 1
     if not _let_in(root, _INERT | _ASIDE):
         _let_in(root, _INERT)
     return root
 
 
-def _close(stack: list, tag: str) -> None:
+def _close(stack: list, open_tags: Counter, tag: str) -> None:
+    if not open_tags[tag]:
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] == tag:
-            del stack[i:]
+            _cut(stack, open_tags, i)
             return
         if stack[i][0] in ("table", "article", "body") and tag not in BLOCKS:
             return
 
 
-def _end_open(stack: list, ended: str, within: set[str]) -> None:
+def _end_open(stack: list, open_tags: Counter, ended: str, within: set[str]) -> None:
+    names = ended.split()
+    if not any(open_tags[x] for x in names):
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i][0] in within:
             return
-        if stack[i][0] in ended.split():
-            del stack[i:]
+        if stack[i][0] in names:
+            _cut(stack, open_tags, i)
             return
 
 
+def _cut(stack: list, open_tags: Counter, at: int) -> None:
+    open_tags.subtract(tag for tag, *_ in stack[at:])
+    del stack[at:]
+
+
 def _runs(node: Node) -> list[str | Node]:
     """Child blocks and, between them, the text as one line each; blank text is left out."""
     out, parts = [], []
@@ -200,8 +244,15 @@ def _is_article(node: Node) -> bool:
     return node.tag in ("article", "main")
 
 
-def _has_article(node: Node) -> bool:
-    return not node.named_out and (_is_article(node) or any(_has_article(x) for x in node.blocks()))
+def _has_article(root: Node) -> bool:
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if not node.named_out:
+            if _is_article(node):
+                return True
+            todo += node.blocks()
+    return False
 
 
 def _key(path: int, said: str) -> int:
@@ -215,13 +266,15 @@ def _main_lines(node: Node, inside: bool, path: int = 0) -> Iterator[tuple[int,
 
     Blocks of a class with numbers in it have one path whatever the numbers are.
     """
-    inside = inside or _is_article(node)
-    for x in _runs(node):
+    todo = [(node, inside, path)]
+    while todo:
+        x, inside, path = todo.pop()
         if isinstance(x, str):
             if inside:
                 yield path, _key(path, "=" + x), x
         elif not x.named_out:
-            yield from _main_lines(x, inside, _key(path, "/" + _NUMBER.sub("0", x.label)))
+            inside = inside or _is_article(x)
+            todo += [(y, inside, path if isinstance(y, str) else _key(path, "/" + _NUMBER.sub("0", y.label))) for y in reversed(_runs(x))]
 
 
 def _lines_of(page: str | None) -> list[tuple[int, int, str]]:

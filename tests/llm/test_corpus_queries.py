@@ -295,6 +295,9 @@ def test_stubs_and_short_articles_keep_the_template_of_their_host(spark):
         ("<article><p>Text <span class='ad'>buy</span> on</p><div class='related'>More</div><div class='ad-slot'>x</div></article>", "Text on\nMore"),
         ("<main><p>Text</p></main><aside><article>teaser</article></aside><template><article>t</article></template>", "Text"),
         ("<article><p>Text</p><div class='comments'><article class='comment'>c</article><article>d</article></div></article>", "Text"),
+        ("<body><div class='cookie-notice'>c</div><div class='site-notice'>n</div><article><p>Text</p></article></body>", "Text"),
+        ("<article><header><h1>Title</h1></header><p>Text</p><footer>f</footer></article><article class='teaser'>More</article>", "Title\nText"),
+        ("<p title=\"a>b\">Text</p><p>a < b</p><p \"unclosed", "Text\na < b"),
         ("<body><div class='nav'>m</div><div id='site-header'>h</div><p>Text</p><div class='cookie-bar'>k</div><script>x</script></body>", "Text"),
     ],
 )
@@ -304,6 +307,17 @@ def test_only_what_is_no_content_is_named_out(page, want):
     assert wrapper.extract(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, length",
+    [("<div>" * 5000 + "x", 1), ("<a \"" * 20_000, 0), ("<b>" * 20_000 + "<p>x" * 2000, 3999), ("<b>" * 20_000 + "</i>" * 20_000, 0),
+     ("<article>" + "<p>some words here</p>" * 60_000, 60_000 * 16 - 1)],
+)
+def test_deep_long_and_broken_pages(page, length):
+    from sonoloom.llm import wrapper
+
+    assert len(wrapper.extract(page)) == length
+
+
 # op9 and the pipeline
 
 
@@ -400,6 +414,41 @@ def test_warc_reader_takes_any_split_and_damage(spark, tmp_path):
         assert sorted((r.record_id, bytes(r.payload)) for r in rows) == sorted((f"urn:page:{p['page_id']}", p["payload"]) for p in pages)
 
 
+def test_foreign_and_incomplete_records_are_passed_over(spark, tmp_path):
+    from sonoloom.llm import warc
+
+    heads = [
+        b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 2\r\n\r\nab\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n",
+        b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:2>\r\nContent-Length: two\r\n\r\nab",
+        b"WARC/1.0\r\nWARC-Record-ID: <urn:uuid:3>\r\nContent-Length: 2\r\n\r\nab",
+    ]
+    data = b"".join(gzip.compress(h) for h in heads)
+    (tmp_path / "f.warc.gz").write_bytes(data)
+    files = spark.createDataFrame([(f"file://{tmp_path}/f.warc.gz", len(data))], "file string, bytes long")
+    assert [r.record_id for r in warc.read_archives(files, split_bytes=50).collect()] == ["urn:uuid:1"]
+
+
+def test_each_range_is_a_task(spark):
+    from sonoloom.llm import warc
+
+    files = spark.createDataFrame([(f"file:///none/{i}", 64 << 20) for i in range(6)], "file string, bytes long")
+    ranges = warc.read_archives(files)
+    plan = ranges._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning(48)" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_a_scan_recorded_twice_counts_once(spark, tmp_path):
+    from sonoloom.llm import secrets
+
+    ledger = f"file://{tmp_path}/ledger"
+    rows = spark.createDataFrame([(1, "token=abcdefgh"), (2, "token=abcdefgh token=abcdefgh")], "doc_id long, text string")
+    secrets.update_ledger(rows, ledger)
+    spark.read.parquet(ledger).write.mode("append").parquet(f"{ledger}-more")
+    spark.read.parquet(f"{ledger}-more").write.mode("append").parquet(ledger)
+    assert {r.row.doc_id: len(r.spans) for r in secrets.findings(rows, ledger).collect()} == {1: 1, 2: 2}
+
+
 # op2
 
 
