@@ -6,7 +6,9 @@ for short waveforms. Every row of both is used.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sonoloom.functions import audio, payload
 from sonoloom.schema import AUDIO_CELL
+from sonoloom.sources import sink
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +103,68 @@ sized AS (
 )
 
 
+def recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The speech rows with audio cells of all forms in one column.
+
+    By turns: samples with a rate, mono and stereo WAV bytes, bare samples, damaged bytes, nothing, and the
+    path of a WAV file, which the query writes for itself. Rows without a waveform have none in any form.
+    """
+    rows, kind = speech(spark, sf_dir), F.col("doc_id") % 7
+    wave, rate = F.col("audio.array"), F.col("audio.sampling_rate")
+    pcm = audio.quantise(wave)
+    folder = sink.scratch_folder(spark)
+    filed = rows.where((kind == 6) & wave.isNotNull()).select("doc_id", payload.encode(pcm, rate).cast("string").alias("value"))
+    filed.write.partitionBy("doc_id").text(folder)
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    paths = paths.select("path", F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"))
+    data = F.when(kind == 1, payload.encode(pcm, rate)).when(kind == 2, payload.encode(pcm, rate, 2))
+    cell = audio_cell(
+        array=F.when(kind.isin(0, 3), wave),
+        sampling_rate=F.when(kind == 0, rate),
+        bytes=data.when(kind == 4, F.encode(F.concat(F.lit("RIFF no audio "), F.col("doc_id").cast("string")), "utf-8")),
+        path=F.col("path"),
+    )
+    return rows.join(paths, "doc_id", "left").withColumn("audio", cell).drop("path")
+
+
+#: What the cells of `recorded` hold once they are read: `heard`, with `wave` (mono) and `rate`.
+RECORDED_SQL = (
+    SPEECH_SQL
+    + """,
+read_back AS (
+  SELECT * REPLACE (CASE doc_id % 7 WHEN 3 THEN 16000 ELSE rate END AS rate),
+    list_transform(wave, lambda x: CAST(CAST(trunc(greatest(-1::FLOAT, least(1::FLOAT, x)) * 32767::FLOAT) AS INTEGER) / 32768 AS FLOAT)) AS stored
+  FROM speech),
+heard AS (
+  SELECT * REPLACE (CASE WHEN doc_id % 7 IN (0, 3) THEN wave WHEN doc_id % 7 IN (1, 6) THEN stored
+    WHEN doc_id % 7 = 2 THEN list_transform(range(len(stored) // 2),
+      lambda i: CAST(CAST(stored[2 * i + 1] + stored[2 * i + 2] AS FLOAT) / 2 AS FLOAT)) END AS wave)
+  FROM read_back)"""
+)
+
+
+def wav_sql(source: str) -> str:
+    """CTE text: `wavs`(doc_id, audio_size, audio_bytes in hex), the WAV file of every waveform of `source` at 16 kHz."""
+
+    def little(value: str, size: int) -> str:
+        return " || ".join(f"printf('%02X', ({value}) // {256 ** i} % 256)" for i in range(size))
+
+    header = (
+        f"hex('RIFF') || {little('36 + 2 * n', 4)} || hex('WAVEfmt ') || '10000000' || '01000100' || {little('16000', 4)}"
+        f" || {little('32000', 4)} || '02001000' || hex('data') || {little('2 * n', 4)}"
+    )
+    return f"""{resampled_sql(source, "doc_id", "wave", "rate")},
+quantised AS (
+  SELECT key, pos, CASE WHEN rate = 16000
+           THEN CAST(greatest(-32768, least(32767, round_even(CAST(value AS FLOAT) * 32768::DOUBLE, 0))) AS INTEGER)
+           ELSE CAST(greatest(-32768, least(32767, round_even(value * 32768::DOUBLE, 0))) AS INTEGER) END AS v
+  FROM points),
+packed AS (
+  SELECT key, count(*) AS n, string_agg(printf('%02X%02X', (v + 65536) % 256, (v + 65536) // 256 % 256), '' ORDER BY pos) AS pcm
+  FROM quantised GROUP BY key),
+wavs AS (SELECT key AS doc_id, n AS audio_size, {header} || pcm AS audio_bytes FROM packed)"""
+
+
 def resampled_sql(source: str, key: str, wave: str, rate: str) -> str:
     """CTE text: `points`(key, pos, value), the waveform of every row brought to 16 kHz."""
     return f"""

@@ -1,5 +1,6 @@
 """Filters, projections, limits and batch functions."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from catalogue.stand_ins import ANNOTATED_SQL, SPLIT_SQL, annotated, split_of, table
@@ -135,6 +136,16 @@ FROM annotated a LEFT JOIN kept k ON a.doc_id = k.doc_id GROUP BY split""",
         ),
         "SELECT doc_id, length(text) AS letters FROM documents",
     ),
+    "map_batches_sizes": (
+        lambda spark, sf_dir: tables.map_batches(
+            _docs(spark, sf_dir).select((F.col("doc_id") % 4).cast("int").alias("part")).repartitionById(4, "part"),
+            lambda batch: pd.DataFrame({"part": [batch["part"][0]], "same": [batch["part"].nunique() == 1], "n": [len(batch)]}),
+            "part int, same boolean, n bigint",
+        ),
+        """WITH sizes AS (SELECT CAST(doc_id % 4 AS INTEGER) AS part, count(*) AS total FROM documents GROUP BY 1)
+SELECT part, true AS same, least(100, total - 100 * b) AS n
+FROM (SELECT part, total, unnest(range((total + 99) // 100)) AS b FROM sizes)""",
+    ),
     "filter_batches": (
         lambda spark, sf_dir: tables.filter_batches(
             _docs(spark, sf_dir).select("doc_id", "lang", "text"), lambda lang: lang == "fr", ["lang"]

@@ -5,6 +5,7 @@ TARGET_RATE = 16_000
 
 # Rows per Parquet row group in the written corpus.
 ROWS_PER_GROUP = 100
+BATCH_ROWS = 100
 
 # Splits of a corpus.
 SPLITS = ("train", "validation", "test")

@@ -3,6 +3,7 @@
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, StructType
@@ -107,13 +108,49 @@ def cast_audio_rate(df: DataFrame, column: str = "audio", target: int = V.TARGET
     return df.withColumn(column, payload.at_one_rate(audio_cell(df, column), target))
 
 
+def _weights(frame: pd.DataFrame) -> np.ndarray:
+    """Bytes of each row: the length of texts, bytes and lists, 8 for anything else."""
+    total = np.zeros(len(frame), np.int64)
+    for name in frame:
+        column = frame[name]
+        if column.dtype == object:
+            total += np.fromiter((len(v) if hasattr(v, "__len__") else 8 for v in column), np.int64, len(column))
+        else:
+            total += 8
+    return total
+
+
+def _regrouped(frames: Iterator[pd.DataFrame], rows: int, size: int) -> Iterator[pd.DataFrame]:
+    """The same rows in batches of `rows`, or of as many as weigh `size` if that is fewer; the last one may be short."""
+    parts, count, weight = [], 0, 0
+    for frame in frames:
+        weights, start = _weights(frame), 0
+        for at, w in enumerate(weights.tolist()):
+            if count + at - start and (count + at - start == rows or weight + w > size):
+                yield pd.concat([*parts, frame.iloc[start:at]], ignore_index=True)
+                parts, count, weight, start = [], 0, 0, at
+            weight += w
+        parts.append(frame.iloc[start:])
+        count += len(frame) - start
+    if count:
+        yield pd.concat(parts, ignore_index=True)
+
+
 def map_batches(
-    df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str
+    df: DataFrame,
+    function: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: StructType | str,
+    batch_rows: int = V.BATCH_ROWS,
+    batch_bytes: int = 1 << 26,
 ) -> DataFrame:
-    """A user function over batches of rows; select the columns it needs beforehand. [X1]"""
+    """A user function over batches of exactly `batch_rows` rows; select the columns it needs beforehand. [X1]
+
+    The last batch of a partition may be shorter, and one whose rows weigh more than `batch_bytes` ends before;
+    a heavier row is a batch of its own. How Spark cuts its Arrow batches makes no difference.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        return map(function, batches)
+        return map(function, _regrouped(batches, batch_rows, batch_bytes))
 
     return df.mapInPandas(run, schema)
 

@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -87,6 +88,24 @@ def test_a_missing_or_tied_key_in_one_split_is_an_error(spark):
         limits.first_rows_per_split(df.union(spark.createDataFrame([(None, "b")], df.schema)), 1, None, "id").collect()
 
 
+@pytest.mark.parametrize("arrow_rows", [1, 7, 100, 10_000])
+def test_batches_are_the_same_however_arrow_cuts_them(spark, arrow_rows):
+    def lengths(batch):
+        return pd.DataFrame({"n": [len(batch)], "first": [batch["id"].iloc[0]]})
+
+    df = spark.range(250).select("id", F.repeat(F.lit("x"), F.when(F.col("id") == 120, 5000).otherwise(10)).alias("t")).coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, arrow_rows)
+    try:
+        plain = tables.map_batches(df, lengths, "n long, first long").collect()
+        small = tables.map_batches(df, lengths, "n long, first long", batch_bytes=1800).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert sorted((r.first, r.n) for r in plain) == [(0, 100), (100, 100), (200, 50)]
+    assert sorted((r.first, r.n) for r in small) == [(0, 100), (100, 20), (120, 1), (121, 100), (221, 29)]
+
+
 def test_tie_at_the_cut_is_an_error(spark):
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "id long")
     with pytest.raises(Exception, match="not unique"):
