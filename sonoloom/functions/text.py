@@ -1,11 +1,12 @@
 """Text functions, Column -> Column.
 
-Each function is one chain in which the input occurs once, so a long regular-expression
+Each function but `nfc` is one chain in which the input occurs once, so a long regular-expression
 chain is never evaluated twice per row. Only Unicode composition leaves the JVM.
 """
 
 import re
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
@@ -16,15 +17,52 @@ from sonoloom import fixed_values as V
 _DIGITS = rf"\p{{Nd}}{V.OTHER_DIGITS}{V.NEWER_DECIMAL_DIGITS}"
 
 
+def _class(points: list[int]) -> str:
+    """A regular-expression class of code points; the first test keeps it cheap for all below U+0300."""
+    edges = [i for i, p in enumerate(points) if not i or p != points[i - 1] + 1]
+    runs = [(points[a], points[b - 1]) for a, b in zip(edges, [*edges[1:], len(points)])]
+    return r"[\x{300}-\x{10FFFF}&&[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in runs) + "]]"
+
+
+@lru_cache
+def may_compose() -> str:
+    """A pattern that every text holds which NFC changes: the Unicode quick check.
+
+    These are code points that NFC replaces or that may compose with one before, and marks in a row, which may be in
+    another order than the canonical one. There are none below U+0300.
+    """
+    changing, marks = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3)), []
+    for point in (*range(0x300, 0xD800), *range(0xE000, 0x110000)):
+        c = chr(point)
+        if unicodedata.combining(c):
+            marks.append(point)
+        parts = unicodedata.decomposition(c).split()
+        if parts and not parts[0].startswith("<"):
+            if unicodedata.normalize("NFC", c) != c:
+                changing.add(point)
+    for point in range(0xC0, 0x30000):
+        parts = unicodedata.decomposition(chr(point)).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            changing.add(int(parts[1], 16))
+    return f"{_class(sorted(changing))}|{_class(marks)}{{2}}"
+
+
 @F.arrow_udf(StringType())
-def nfc(text: pa.Array) -> pa.Array:
-    """Canonical composition (NFC); Spark has no built-in for it. [T1]"""
+def _composed(text: pa.Array) -> pa.Array:
     return pa.array(
         [None if t is None else unicodedata.normalize("NFC", t) for t in text.to_pylist()],
         pa.string(),
     )
 
 
+def nfc(text: Column) -> Column:
+    """Canonical composition (NFC); Spark has no built-in for it. [T1]
+
+    Only texts that fail the quick check are carried to Python. The input occurs three times: give it a column.
+    """
+    return F.coalesce(_composed(F.when(text.rlike(may_compose()), text)), text)
+
+
 def base_language(code: Column) -> Column:
     """Language part of a code: 'zh_Hans' -> 'zh'. [T12]"""
     return F.lower(F.substring_index(code, "_", 1))
