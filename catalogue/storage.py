@@ -81,6 +81,12 @@ def _skip_corrupt(spark, sf_dir):
     return _rows(scans.read_corpus(spark, root, skip_corrupt=True))
 
 
+def _by_row(spark, sf_dir):
+    """A text by its place in the file of the documents, or in the first of them."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{sf_dir}/documents.parquet")
+    return files.lookup_row(spark, listed.agg(F.min("path")).first()[0], 70, "text")
+
+
 #: Size of the files into which placed rows go.
 _FILE_BYTES = 20_000
 
@@ -180,6 +186,7 @@ QUERIES = {
         " CASE WHEN split = 'test' THEN audio_size + 1 ELSE audio_size END AS audio_size FROM prepared",
     ),
     "scan_skip_corrupt": (_skip_corrupt, f"WITH {_PREPARED_SQL} SELECT * FROM prepared"),
+    "lookup_row": (_by_row, "SELECT CAST(70 AS BIGINT) AS row, text FROM (SELECT text FROM documents LIMIT 1 OFFSET 70)"),
     "placed_files": (
         _placed,
         f"WITH {_PREPARED_SQL} SELECT corpus, split, language, count(*) AS rows, true AS fits FROM prepared"

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pyarrow.parquet as pq
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from sonoloom.plans import ingest
@@ -112,6 +113,23 @@ def test_a_file_counts_wholly_or_not_at_all(spark, root):
     assert [(r.num_samples, r.duration_hours) for r in report] == [(1000, total / 16000 / 3600)] * 2
 
 
+def test_a_cell_by_its_place_reads_one_row_group(spark, root, monkeypatch):
+    sink.write_corpus(prepared(spark, n=1000).coalesce(1), root)
+    (path,) = files(root)
+    order = pq.read_table(path, columns=["text"]).column(0).to_pylist()
+    for row in (0, 99, 100, 777, 999):
+        assert stored_files.lookup_row(spark, path, row, "text").collect() == [(row, order[row])]
+    assert bytes(stored_files.lookup_row(spark, f"file://{path}", 5, "audio_bytes").first()[1]) == b"\x00\xff"
+    read, real = [], pq.ParquetFile.read_row_group
+    monkeypatch.setattr(pq.ParquetFile, "read_row_group", lambda f, i, columns: read.append((i, columns)) or real(f, i, columns=columns))
+    assert stored_files._row_of(fs.LocalFileSystem(), path, 777, "text").to_pylist() == [order[777]]
+    assert read == [(7, ["text"])]
+    with pytest.raises(ValueError, match="no column 'speech'"):
+        stored_files.lookup_row(spark, path, 0, "speech")
+    with pytest.raises(Exception, match="no row 1000"):
+        stored_files.lookup_row(spark, path, 1000, "text").collect()
+
+
 def test_read_split(spark, root):
     rows = spark.range(4).select(
         F.struct(F.lit(b"x").alias("bytes"), F.lit("p").alias("path")).alias("audio"),
