@@ -66,10 +66,11 @@ def with_targets(sources: DataFrame, weight: Column, most: int = 3) -> DataFrame
     return table.withColumn("target", F.when(F.col("cap") < share, F.col("cap").cast("double")).otherwise(share))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) that depends on the seed and the doc_id alone; all null ids share one."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    digits = F.substring(F.md5(text.cast("binary")), 1, _DIGITS)
+def draw(doc_id: Column, text: Column, seed: str) -> Column:
+    """A number in [0, 1) that depends on the seed and the doc_id alone; rows without an id draw by their text."""
+    own = F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    said = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), own))
+    digits = F.substring(F.md5(said.cast("binary")), 1, _DIGITS)
     return F.conv(digits, 16, 10).cast("long") / F.lit(float(16**_DIGITS))
 
 
@@ -80,7 +81,8 @@ def mix(docs: DataFrame, weight: Column, most: int = 3, seed: str = "mix", broad
     below the fraction. `weight` may use `place`, the source's number by code point (null last). The targets
     are broadcast if there are at most `broadcast_rows` sources, else joined; a source with most rows is
     then split by the adaptive join. Texts without words count 0 and are taken like the others of their
-    source; a source without words has target 0 and no copies. Repeated rows share their draw. An empty
+    source; a source without words has target 0 and no copies. Repeated rows share their draw, and rows without an id draw by
+    their text, so a source of nothing but one text without ids is taken as a whole or not. An empty
     table gives no rows.
     """
     sources = with_targets(ranked(source_sizes(docs.select("source", "text"))), weight, most)
@@ -91,7 +93,7 @@ def mix(docs: DataFrame, weight: Column, most: int = 3, seed: str = "mix", broad
     joined = rows.join(targets, F.col("row.source").eqNullSafe(F.col("source")))
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most))))
     rate = F.coalesce(rate, F.lit(0.0))
-    extra = (draw(F.col("row.doc_id"), seed) < rate - F.floor(rate)).cast("int")
+    extra = (draw(F.col("row.doc_id"), F.col("row.text"), seed) < rate - F.floor(rate)).cast("int")
     return joined.select(
         "row", size(F.col("row.text")).alias("size"), "source_size", "target",
         (F.floor(rate).cast("int") + extra).alias("copies"),
@@ -99,7 +101,10 @@ def mix(docs: DataFrame, weight: Column, most: int = 3, seed: str = "mix", broad
 
 
 def emitted(mixed: DataFrame) -> DataFrame:
-    """The rows themselves, each `copies` times, numbered from 1 by `copy`; a column `copy` of their own is replaced."""
+    """The rows themselves, each `copies` times, numbered from 1 by `copy`, or by `copy_` and so on if they have such a column."""
+    names = mixed.schema["row"].dataType.names
+    number = "copy"
+    while number in names:
+        number += "_"
     rows = mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_number"))
-    names = [n for n in mixed.schema["row"].dataType.names if n != "copy"]
-    return rows.select(*[F.col(f"row.`{n}`") for n in names], F.col("copy_number").alias("copy"))
+    return rows.select(*[F.col(f"row.`{n}`") for n in names], F.col("copy_number").alias(number))

@@ -100,7 +100,7 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(t) AS payload_dig
 FROM p LEFT JOIN top USING (t)"""
 
 _OP5 = f"""
-WITH sized AS (SELECT doc_id, source, len({_WORDS.format("text")})::BIGINT AS size FROM documents),
+WITH sized AS (SELECT doc_id, text, source, len({_WORDS.format("text")})::BIGINT AS size FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT *, (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1 AS weight FROM sources),
@@ -115,7 +115,7 @@ factor AS (
 targets AS (SELECT source, source_size, CASE WHEN cap < t * weight THEN cap::DOUBLE ELSE t * weight END AS target FROM ordered, factor),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0 END AS rate,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 SELECT doc_id, size, source_size, target,
   (size * (floor(rate)::BIGINT + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rated"""

@@ -379,6 +379,19 @@ def test_pipeline_takes_odd_rows(spark, odd, none, which):
     assert set(EXTRA) <= set(rows.columns)
 
 
+def test_rows_without_ids_draw_for_themselves_and_keep_their_columns(spark):
+    from sonoloom.llm import mixing
+
+    texts = [(None, f"{s} " * 5 + str(i), s, f"c{i}") for s in ("a", "b", "c") for i in range(150)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string, source string, copy string")
+    mixed = mixing.mix(rows, queries.source_weight())
+    taken = {r.source: (r.t, r.target) for r in mixed.groupBy("row.source").agg(F.sum(F.col("size") * F.col("copies")).alias("t"), F.first("target").alias("target")).collect()}
+    assert all(abs(t - target) < 0.15 * target for t, target in taken.values())
+    out = mixing.emitted(mixed)
+    assert out.columns == ["doc_id", "text", "source", "copy", "copy_"]
+    assert all(r.copy == f"c{r.text.split()[-1]}" and r.copy_ >= 1 for r in out.collect())
+
+
 # op1 and op4
 
 
