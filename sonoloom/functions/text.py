@@ -55,12 +55,18 @@ def _composed(text: pa.Array) -> pa.Array:
     )
 
 
+def may_change(text: Column) -> Column:
+    """Whether NFC may change a text: cheap tests first, which ASCII and then Latin texts do not pass."""
+    beyond = text.rlike(r"[\x{300}-\x{10FFFF}]")
+    return (F.octet_length(text) > F.length(text)) & beyond & text.rlike(may_compose())
+
+
 def nfc(text: Column) -> Column:
     """Canonical composition (NFC); Spark has no built-in for it. [T1]
 
-    Only texts that fail the quick check are carried to Python. The input occurs three times: give it a column.
+    Only texts that fail the quick check are carried to Python. The input occurs several times: give it a column.
     """
-    return F.coalesce(_composed(F.when(text.rlike(may_compose()), text)), text)
+    return F.coalesce(_composed(F.when(may_change(text), text)), text)
 
 
 def base_language(code: Column) -> Column:
