@@ -69,15 +69,13 @@ windows AS (
 grams AS (SELECT row_id, i, g FROM windows WHERE i <= total - 2),
 twice AS (SELECT row_id, i FROM grams JOIN (SELECT row_id, g FROM grams GROUP BY ALL HAVING count(*) > 1) USING (row_id, g)),
 repeats AS (SELECT row_id, count(DISTINCT i + o) AS n FROM twice, range(0, 3) r(o) GROUP BY row_id),
-docs AS (SELECT DISTINCT doc_id, source, text FROM documents),
 lines AS (
   SELECT row_id, doc_id, source, md5(coalesce(text, '')) AS d, unnest(lines) AS raw FROM texts),
 plain AS (
   SELECT row_id, doc_id, source, d, len({_WORDS.format("raw")}) AS n,
     regexp_replace(lower(trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]', '0', 'g') AS line FROM lines),
-totals AS (SELECT coalesce(source, '') AS host, count(*) AS docs FROM docs GROUP BY 1),
 counted AS (SELECT coalesce(source, '') AS host, line, count(DISTINCT (doc_id, source, d)) AS n FROM plain GROUP BY 1, 2),
-often AS (SELECT host, line FROM counted JOIN totals USING (host) WHERE n > 20 AND n > 0.005 * docs),
+often AS (SELECT host, line FROM counted WHERE n > 20),
 removed AS (
   SELECT row_id, sum(n) AS n FROM plain JOIN often ON coalesce(source, '') = host AND plain.line = often.line GROUP BY row_id),
 figures AS (

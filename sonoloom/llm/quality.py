@@ -62,43 +62,40 @@ def line_id(host: Column, line: Column) -> Column:
     return F.unhex(F.md5(F.concat(F.coalesce(host, F.lit("")), F.lit("\x00"), plain).cast("binary")))
 
 
-def frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = 20, max_share: float = 0.005) -> DataFrame:
+def frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = 20) -> DataFrame:
     """(`key`, `line`, `n_words`) for every line of a document that too many documents of its host have.
 
     `key` is the content key of doc_id, host and text, so repeated rows are one document. A line is too
-    frequent if more than `max_docs` documents of its host have it and these are more than `max_share` of
-    the host's documents. All counts are over all documents; a very common line is counted within each task
-    first, and its rows are split by the adaptive join.
+    frequent if more than `max_docs` documents of its host have it, however large the host is. All counts are
+    over all documents; a very common line is counted within each task first. Both sides of the join on the
+    line are read or dealt anew, so its rows are split by the adaptive join.
     """
     key = content_key("doc_id", host, "text")
     each = docs.select(F.col(host).alias("host"), key.alias("key"), F.explode(text_lines(F.col("text"))).alias("text_line"))
     lines = each.select(
-        "host", "key", line_id(F.col("host"), F.col("text_line")).alias("line"),
+        "key", line_id(F.col("host"), F.col("text_line")).alias("line"),
         F.regexp_count("text_line", F.lit(r"[^\x20\x09-\x0D]+")).alias("n"),
     )
-    once = written(lines.groupBy("line", "key").agg(F.sum("n").alias("n_words"), F.first("host").alias("host")))
-    totals = docs.select(F.col(host).alias("host"), key.alias("key")).distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    often = once.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("host")).where(F.col("n") > max_docs)
-    above = often.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
-    above = above.where(F.col("n") > max_share * F.col("docs")).select("line")
+    once = written(lines.groupBy("line", "key").agg(F.sum("n").alias("n_words")))
+    above = written(once.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs).select("line"))
     return once.join(above, "line").select("key", "line", "n_words")
 
 
 def judged(
-    docs: DataFrame, host: str = "source", max_docs: int = 20, max_share: float = 0.005, min_left: float = 0.5
+    docs: DataFrame, host: str = "source", max_docs: int = 20, min_left: float = 0.5
 ) -> DataFrame:
     """Every row as struct `row` with the base figures, `n_removed` words, `cleaned` text and `kept`.
 
     Lines that are too frequent on their host (see `frequent_lines`) are removed; a document is depleted
     if less than `min_left` of its words are left. `kept` is false for those and for base failures. Null
-    and blank texts have no words and fail; null hosts are one host; repeated rows are judged alike; an
+    and blank texts have no words and fail; null and empty hosts are one host; repeated rows are judged alike; an
     empty table gives no rows.
     """
     rows = with_base(packed(docs), F.col("row.text")).withColumn(
         "key", content_key(F.col("row.doc_id"), F.col(f"row.`{host}`"), F.col("row.text"))
     )
     removed = (
-        frequent_lines(docs, host, max_docs, max_share)
+        frequent_lines(docs, host, max_docs)
         .groupBy("key")
         .agg(F.sum("n_words").alias("n"), F.collect_set("line").alias("gone"))  # lines of one document
         .withColumnRenamed("key", "k")
