@@ -62,40 +62,45 @@ def _sums(values: np.ndarray, borders: np.ndarray) -> np.ndarray:
     return running[borders[1:]] - running[borders[:-1]]
 
 
-def _one_of_copies(lists: list[np.ndarray], buckets: int, signs: int = 3, rare: float = 0.01) -> list[int]:
-    """Places of texts of which none before shares the MinHash signs of the rare words: copies tell nothing new."""
+def _groups(lists: list[np.ndarray], buckets: int, signs: int = 3, rare: float = 0.01) -> np.ndarray:
+    """A group for each text: that of the first before it that shares two MinHash signs of the rare words."""
     shown = np.bincount(np.concatenate([*lists, np.empty(0, np.int64)]), minlength=buckets)
     keys = [mixed(np.arange(buckets, dtype=np.uint64) + np.uint64((i + 1) << 32)) for i in range(signs)]
-    seen, single = set(), []
+    seen: dict[tuple, int] = {}
+    out, groups = np.empty(len(lists), np.int64), 0
     for place, words in enumerate(lists):
         few = words[shown[words] <= max(2, rare * len(lists))]
-        sign = tuple(int(few[np.argmin(k[few])]) for k in keys) if len(few) else place
-        near = [(i, j, sign[i], sign[j]) for i in range(signs) for j in range(i)] if len(few) else [sign]
-        if seen.isdisjoint(near):
-            single.append(place)
-        seen.update(near)
-    return single
+        sign = tuple(int(few[np.argmin(k[few])]) for k in keys) if len(few) else ()
+        near = [(i, j, sign[i], sign[j]) for i in range(len(sign)) for j in range(i)]
+        group = next((seen[x] for x in near if x in seen), groups)
+        groups += group == groups
+        out[place] = group
+        for x in near:
+            seen.setdefault(x, group)
+    return out
 
 
-def _telling(bucket, text, target, buckets):
+def _telling(bucket, text, target, weight, buckets):
     """Buckets that go with the category by more than chance would give the best of as many buckets.
 
     The measure is the root of the likelihood ratio between the category's rate among the texts with the
     bucket and among all; the bound for m buckets is the root of 2 ln m, times a margin.
+    Texts count by `weight`.
     """
-    total = np.bincount(bucket, minlength=buckets).astype(float)
-    inside = np.bincount(bucket[target[text] > 0], minlength=buckets).astype(float)
-    rate = min(max(target.mean() if len(target) else 0.5, 1e-9), 1 - 1e-9)
+    total = np.bincount(bucket, weight[text], buckets)
+    inside = np.bincount(bucket, (weight * (target > 0))[text], buckets)
+    rate = min(max(float(weight @ target / weight.sum()) if len(target) else 0.5, 1e-9), 1 - 1e-9)
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = np.nan_to_num(inside * np.log(inside / (total * rate)))
-        ratio += np.nan_to_num((total - inside) * np.log((total - inside) / (total * (1 - rate))))
+        outside = np.maximum(total - inside, 0)
+        ratio += np.nan_to_num(outside * np.log(outside / (total * (1 - rate))))
     return 2 * ratio >= _MARGIN * 2 * np.log(max(2, np.count_nonzero(total)))
 
 
-def _fit(bucket, borders, extra, target, buckets, rounds=120, rate=0.3, decay=1e-4):
-    """Logistic regression by AdaGrad over all rows at once, on the telling words; weights shrink each round."""
+def _fit(bucket, borders, extra, target, weight, buckets, rounds=120, rate=0.3, decay=1e-4):
+    """Logistic regression by AdaGrad over all rows at once, by weight, on the telling words; weights shrink each round."""
     text = np.repeat(np.arange(len(target)), np.diff(borders))
-    telling = _telling(bucket, text, target, buckets)
+    telling = _telling(bucket, text, target, weight, buckets)
     keep = telling[bucket]
     bucket, text = bucket[keep], text[keep]
     borders = np.searchsorted(text, np.arange(len(target) + 1))
@@ -103,7 +108,7 @@ def _fit(bucket, borders, extra, target, buckets, rounds=120, rate=0.3, decay=1e
     seen_w, seen_e, seen_b = np.full(buckets, 1e-8), np.full(extra.shape[1], 1e-8), 1e-8
     for _ in range(rounds):
         logit = _sums(words[bucket], borders) + extra @ earlier + bias
-        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) / max(1, len(target))
+        error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - target) * weight / max(1.0, weight.sum())
         grad = np.bincount(bucket, error[text], buckets) + decay * words
         grad_e, grad_b = extra.T @ error, error.sum()
         seen_w += grad**2
@@ -115,14 +120,14 @@ def _fit(bucket, borders, extra, target, buckets, rounds=120, rate=0.3, decay=1e
     return words, earlier, bias
 
 
-def _threshold(probability: np.ndarray, target: np.ndarray) -> float:
-    """The cut with the best F1 on out-of-fold probabilities; of equal ones the middle of the gap."""
+def _threshold(probability: np.ndarray, target: np.ndarray, weight: np.ndarray) -> float:
+    """The cut with the best F1 by weight on out-of-fold probabilities; of equal ones the middle of the gap."""
     order = np.argsort(-probability, kind="stable")
-    p, hits = probability[order], np.cumsum(target[order])
+    p, hits, called = probability[order], np.cumsum((weight * target)[order]), np.cumsum(weight[order])
     if not len(p) or not hits[-1]:
         return _NEVER
     last = np.append(p[1:] < p[:-1], True)  # equal probabilities fall on one side
-    f1 = np.where(last, 2 * hits / (np.arange(1, len(p) + 1) + hits[-1]), -1)
+    f1 = np.where(last, 2 * hits / (called + hits[-1]), -1)
     best = int(np.argmax(f1))
     return float((p[best] + (p[best + 1] if best + 1 < len(p) else p[best])) / 2)
 
@@ -137,7 +142,8 @@ def fit_chain(
     with the smallest hashes of their doc_id, so it is the same in each run; its word buckets, not its
     texts, come to the driver. Rows whose doc_id, text or label is null are not trained on; a doc_id that
     is labelled twice counts twice. Earlier probabilities that a model is trained on come from models that
-    did not see the row. Without labels every probability is 1/2 and no threshold is reached.
+    did not see the row. Near copies are all trained on, in one fold, and weigh as much as one row together;
+    equal hashes of the sample are ordered by label. Without labels every probability is 1/2 and no threshold is reached.
     """
     named = labels.where(F.col("doc_id").isNotNull()).select(
         "doc_id", *[c.cast("int").alias(f"y{i}") for i, c in enumerate(targets.values())]
@@ -167,26 +173,26 @@ def fit_chain(
     )
     chain = Chain(list(targets), buckets)
     lists = [x.values.to_numpy().astype(np.int64) for x in sample.column("bucket")]
-    single = _one_of_copies(lists, buckets)
-    lists, sample = [lists[i] for i in single], sample.take(pa.array(single, pa.int64()))
+    group = _groups(lists, buckets)
+    weight = 1 / np.bincount(group)[group] if len(group) else np.empty(0)
     borders = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
     flat = np.concatenate([*lists, np.empty(0, np.int64)])
-    fold = np.arange(len(lists)) % folds
+    fold = group % folds
     logits = np.empty((len(lists), 0))
     for y in ys:
         target = sample.column(y).to_numpy().astype(float)
         held = np.zeros(len(lists))
         for k in range(folds):
             train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            words, earlier, bias = _fit(*_rows(lists, train), logits[train], target[train], buckets)
+            words, earlier, bias = _fit(*_rows(lists, train), logits[train], target[train], weight[train], buckets)
             flat_k, borders_k = _rows(lists, test)
             held[test] = _bounded(_sums(words[flat_k], borders_k) + logits[test] @ earlier + bias)
-        words, earlier, bias = _fit(flat, borders, logits, target, buckets)
+        words, earlier, bias = _fit(flat, borders, logits, target, weight, buckets)
         chain.words.append(words.astype(np.float32))
         chain.earlier.append(earlier)
         chain.bias.append(float(bias))
         tells = bool(words.any())  # else all texts have one probability, and none is called out
-        chain.thresholds.append(_threshold(1 / (1 + np.exp(-held)), target) if tells else _NEVER)
+        chain.thresholds.append(_threshold(1 / (1 + np.exp(-held)), target, weight) if tells else _NEVER)
         logits = np.column_stack([logits, held])
     return chain
 
