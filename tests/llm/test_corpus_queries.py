@@ -195,7 +195,7 @@ def test_url_filter_equals_brute_force(spark, odd):
             out, now = {}, {h: 0.15 * n for h, n in seed.items()}
             for (a, _), w in edges.items():
                 out[a] = out.get(a, 0) + w
-            for _ in range(20):
+            for _ in range(100):
                 new = {h: 0.15 * n for h, n in seed.items()}
                 for (a, b), w in edges.items():
                     if a in now:
@@ -216,6 +216,58 @@ def test_url_filter_equals_brute_force(spark, odd):
         assert sorted(map(str, (x for x in got if x[1] not in near))) == sorted(map(str, (x for x in want if x[1] not in near)))
 
 
+def test_distrust_reaches_far_hosts(spark):
+    """A chain of 40 hosts that ends in a blocked one: all that lead there are blocked."""
+    from sonoloom.llm import urls
+
+    pages = [(f"http://h{i}.net/", f"<a href='http://h{i + 1}.net/'>next</a>") for i in range(40)] + [("http://h40.net/", "")]
+    rules = (urls.Rule("block", "h40.net", "/"), urls.Rule("allow", "none.org", "/"))
+    rows = urls.judged(spark.createDataFrame(pages, "url string, html string"), rules)
+    assert {r.verdict for r in rows.collect()} == {"block"}
+
+
+# op7
+
+
+def test_containment_search_takes_any_item_id_and_hot_shingles(spark):
+    """Items that share their beginning, copies of items and of texts, ids that are strings: like all pairs."""
+    import random
+
+    from sonoloom.llm import decontamination
+
+    draw = random.Random(7)
+    words = [f"w{i}" for i in range(50)]
+    start = "which of the following is the best answer to this question about"
+    items = [(f"i{n}", start + " " + " ".join(draw.choices(words, k=draw.randrange(1, 60)))) for n in range(120)]
+    items += [("copy", items[0][1]), (None, items[1][1]), ("short", "w1 W2"), ("blank", " "), ("null", None)]
+    texts = []
+    for _ in range(150):
+        said = draw.choice(items[:120])[1].split()
+        for _ in range(draw.randrange(3)):
+            said[draw.randrange(len(said))] = "other"
+        texts.append(" ".join(draw.choices(words, k=30) + said + draw.choices(words, k=30)))
+    texts += texts[:40] + [None, "", start, "w1 w2"]
+
+    def shingles(text, n):
+        w = text.lower().split()
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    want = []
+    for d, text in enumerate(texts):
+        for item, said in items:
+            if text and said and (n := min(5, len(said.split()))):
+                own = shingles(said, n)
+                common = len(own & shingles(text, n)) / len(own)
+                if common >= 0.8 - 1e-9:
+                    want.append((d, str(item), round(common, 9)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for rows in (500_000, 0):  # broadcast and joined
+        found = decontamination.matches(docs, bench, broadcast_rows=rows).select(F.col("row.doc_id").alias("d"), F.inline("found"))
+        assert sorted((r.d, str(r.item_id), round(r.containment, 9)) for r in found.collect()) == sorted(want)
+    assert len({d for d, *_ in want}) > 60
+
+
 # op10
 
 
