@@ -101,11 +101,11 @@ def _may_be_in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _hits(lengths: list[int], bits: np.ndarray):
-    """The different shingles of each text, of these lengths, that the bitmap lets through."""
+    """The different shingles of each text, of these lengths, that the bitmap lets through; null if there are none."""
 
     @F.arrow_udf("array<bigint>")
     def hits(texts: pa.Array) -> pa.Array:
-        out = [np.empty(0, np.int64)] * len(texts)
+        out: list[np.ndarray | None] = [None] * len(texts)
         for base, data, offsets in text_chunks(texts):
             data = _FOLD[data]
             starts, ends, first = word_spans(data, offsets)
@@ -184,8 +184,9 @@ def matches(
     def key(text: Column) -> Column:
         return F.unhex(F.md5(text.cast("binary")))
 
-    read = docs.where(F.length("text") > 0).select("text")
-    read = read.withColumn("hits", _hits(lengths, _bitmap(entries))("text")).where(F.size("hits") > 0)
+    hits = _hits(lengths, _bitmap(entries))("text")
+    # A filter on the hits would be pushed below them and search every text twice; a generator does not.
+    read = docs.where(F.length("text") > 0).select("text", F.explode(F.array_compact(F.array(hits))).alias("hits"))
     texts = written(read.withColumn("key", key(F.col("text"))).groupBy("key").agg(F.first("text").alias("text"), F.first("hits").alias("hits")))
     pairs = (
         texts.select("key", F.explode("hits").alias("hash"))

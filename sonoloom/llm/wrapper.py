@@ -529,9 +529,8 @@ def _outlines(pages: DataFrame) -> DataFrame:
         )
 
     read = pages.where(F.length("html") > 0).select(host_of(F.col("url")).alias("host"), outlined("html").alias("o"))
-    read = read.where(F.size("o.lines") > 0)
     one = read.groupBy("host", "o.digest").agg(F.min(F.struct("o.shape", "o.lines")).alias("o"))
-    return written(one.select("host", "o.shape", "o.lines"))
+    return written(one.where(F.size("o.lines") > 0).select("host", "o.shape", "o.lines"))  # before, it would read pages twice
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
