@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import content_key, packed, word_list, written
+from sonoloom.llm.common import content_key, packed, written
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -19,28 +19,24 @@ def with_base(df: DataFrame, text: Column) -> DataFrame:
     """`df` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long) and base_failed.
 
     Repeated words are counted by sorting the 3-word windows of a text by hash and place: equal neighbours
-    mark their places, and the distance between marked places says how many words each adds.
+    mark their places, and the distance between marked places says how many words each adds. Texts whose
+    windows are all different are not sorted.
     """
-    lines = text_lines(text)
-    df = df.withColumns(
-        {
-            "words": word_list(text),
-            "word_chars": F.length(F.regexp_replace(F.coalesce(text, F.lit("")), _SPACE, "")).cast("long"),
-            "n_symbols": F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[#*$%&|<>]")).cast("long"),
-            "lines": lines,
-        }
-    )
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size("words") - 3),
-        lambda i: F.struct(
-            F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)).alias("h"), i.alias("at")
-        ),
-    )
+    whole = F.coalesce(text, F.lit(""))
+    df = df.withColumns({"words": F.array_remove(F.split(whole, _SPACE), ""), "lines": text_lines(text)})
+    hashes = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
     df = df.select(
         *[c for c in df.columns if c not in ("words", "lines")],
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(whole, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.size("words").cast("long").alias("n_words"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("words") >= 3, F.sort_array(windows)).alias("windows"),
+        F.when(F.size("words") >= 3, F.slice(hashes, 1, F.size("words") - 2)).alias("hashes"),
+    )
+    windows = F.sort_array(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
+    df = df.select(
+        *[c for c in df.columns if c != "hashes"],
+        F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), windows).alias("windows"),
     )
     twice = F.filter(
         "windows",
@@ -56,29 +52,41 @@ def with_base(df: DataFrame, text: Column) -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
-def line_id(host: Column, line: Column) -> Column:
-    """16 bytes for a host and a normalised line: lower case, one space between words, every digit as 0."""
-    plain = F.regexp_replace(F.lower(F.trim(F.regexp_replace(line, _SPACE, " "))), r"\d", "0")
+def plain_line(line: Column) -> Column:
+    """A normalised line: lower case, one space between words and none around them, every digit as 0."""
+    single = F.regexp_replace(line, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+    return F.regexp_replace(F.lower(F.trim(single)), r"[1-9]", "0")
+
+
+def line_id(host: Column, plain: Column) -> Column:
+    """16 bytes for a host and a normalised line."""
     return F.unhex(F.md5(F.concat(F.coalesce(host, F.lit("")), F.lit("\x00"), plain).cast("binary")))
 
 
 def frequent_lines(docs: DataFrame, host: str = "source", max_docs: int = 20) -> DataFrame:
     """(`key`, `line`, `n_words`) for every line of a document that too many documents of its host have.
 
-    `key` is the content key of doc_id, host and text, so repeated rows are one document. A line is too
-    frequent if more than `max_docs` documents of its host have it, however large the host is. All counts are
-    over all documents; a very common line is counted within each task first. Both sides of the join on the
-    line are read or dealt anew, so its rows are split by the adaptive join.
+    `key` is the content key of doc_id, host and text, so repeated rows are one document, and `n_words` are the
+    words that this line has in one of them. A line is too frequent if more than `max_docs` documents of its host
+    have it, however large the host is. All counts are over all documents; a very common line is counted within
+    each task first. Both sides of the join on the line are read or dealt anew, so its rows are split by the
+    adaptive join.
     """
-    key = content_key("doc_id", host, "text")
-    each = docs.select(F.col(host).alias("host"), key.alias("key"), F.explode(text_lines(F.col("text"))).alias("text_line"))
+    each = docs.select(
+        F.col(host).alias("host"), content_key("doc_id", host, "text").alias("key"), text_lines(F.col("text")).alias("lines")
+    )  # before the lines are dealt out: the key is then taken once for each row, not for each line
+    each = each.select("key", "host", F.posexplode_outer("lines").alias("at", "line")).where(F.col("line").isNotNull())
+    each = each.select("key", "host", "at", plain_line(F.col("line")).alias("plain"))
     lines = each.select(
-        "key", line_id(F.col("host"), F.col("text_line")).alias("line"),
-        F.regexp_count("text_line", F.lit(r"[^\x20\x09-\x0D]+")).alias("n"),
+        "key", line_id(F.col("host"), F.col("plain")).alias("line"), (F.col("at") == 0).cast("long").alias("first"),
+        (F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit(""))) + 1).cast("long").alias("n"),
     )
-    once = written(lines.groupBy("line", "key").agg(F.sum("n").alias("n_words")))
+    # Equal rows begin with the same line, which is therefore first as often as there are rows.
+    once = written(lines.groupBy("line", "key").agg(F.sum("n").alias("n_words"), F.sum("first").alias("copies")))
     above = written(once.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs).select("line"))
-    return once.join(above, "line").select("key", "line", "n_words")
+    repeated = once.where(F.col("copies") > 1).select("key", "copies")
+    found = once.drop("copies").join(above, "line").join(repeated, "key", "left")
+    return found.select("key", "line", F.expr("n_words div coalesce(copies, 1)").alias("n_words"))
 
 
 def judged(
@@ -105,7 +113,7 @@ def judged(
     kept = ~F.col("base_failed") & (F.col("n_words") - n_removed >= min_left * F.col("n_words"))
     left = F.filter(
         F.split(F.col("row.text"), "\n"),
-        lambda x: ~F.array_contains("gone", line_id(F.col(f"row.`{host}`"), x)) | ~x.rlike(r"[^\x20\x09-\x0D]"),
+        lambda x: ~F.array_contains("gone", line_id(F.col(f"row.`{host}`"), plain_line(x))) | ~x.rlike(r"[^\x20\x09-\x0D]"),
     )
     cleaned = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(left, "\n"))
     return joined.select(

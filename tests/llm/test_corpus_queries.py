@@ -14,7 +14,7 @@ from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sonoloom.llm import oracles, queries
+from sonoloom.llm import oracles, quality, queries
 
 LONG = " ".join(f"word{i % 977} x{i % 1201}" for i in range(60_000))
 PASSAGE = " ".join(f"passage{i}" for i in range(41))
@@ -583,3 +583,24 @@ def test_shards_and_hot_anchors_change_nothing(spark, odd):
     plain = substring.deduplicated(docs).select("row.doc_id", "kept", "n_removed").collect()
     for options in ({"hot": 0}, {"hot": 1, "shard_words": 50}, {"gram": 4}):
         assert sorted(map(str, substring.deduplicated(docs, **options).select("row.doc_id", "kept", "n_removed").collect())) == sorted(map(str, plain))
+
+
+# op3
+
+
+def test_repeated_rows_lose_each_line_once(spark, tmp_path):
+    common = " ".join(f"often{i}" for i in range(30))
+    texts = [(i, f"{common}\n" + " ".join(f"own{i}x{j}" for j in range(40)), "hot") for i in range(25)]
+    texts += [texts[0]] * 3 + [(99, f"first line\n{common}\n{common} \n" + " ".join(f"z{j}" for j in range(59)), "hot")] * 2
+    folder, duck = tables(tmp_path, texts, [], [], [])
+    got = queries.op3_quality_rules(spark, folder)
+    assert differences(got, duck, oracles.SQL["op3_quality_rules"])[:3] == []
+    assert {r.doc_id for r in got.collect() if r.kept} == {*range(25), 99}
+    removed = quality.judged(spark.read.parquet(f"{folder}/documents.parquet")).select("row.doc_id", "n_removed", "cleaned").collect()
+    assert {(r.doc_id == 99, r.n_removed) for r in removed} == {(False, 30), (True, 60)}
+    assert not any("often" in r.cleaned for r in removed)
+
+
+@pytest.mark.parametrize("line, want", [("", ""), (" \t ", ""), ("a", "a"), ("\t A  b\r", "a b"), ("x \t\x0b9 1É ", "x 0 0é"), ("a b\x0cc", "a b c")])
+def test_plain_lines(spark, line, want):
+    assert spark.range(1).select(quality.plain_line(F.lit(line))).first()[0] == want
