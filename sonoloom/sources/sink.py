@@ -1,5 +1,6 @@
 """Writing the prepared corpus, and the folder for written tables."""
 
+import math
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -10,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sonoloom import fixed_values as V
 from sonoloom.schema import PARTITIONS
 
+#: Files smaller than this share a task, up to so many bytes of them.
+_TASK_BYTES = 1 << 27
+
 
 def cell_bytes(cell: Column) -> Column:
     """What an audio cell of all forms weighs before it is processed: its bytes, else its samples; a file not read yet counts 1."""
@@ -24,7 +28,8 @@ def placed(
 
     A first pass over `by` and `weight` alone adds up what each partition of the corpus weighs; a partition gets as many
     files of `file_bytes` as its weight fills, the last one in part. Rows are dealt among the files of their
-    partition at random, and a file is a task. Place rows before their audio is read and the audio is never shuffled.
+    partition at random. A task writes one file of each of several partitions, as many as make `_TASK_BYTES`, so that
+    small files do not cost a task each. Place rows before their audio is read and the audio is never shuffled.
     """
     sums = df.select(*by, weight.alias("_weight")).groupBy(*by).agg(F.sum("_weight").alias("_weight"))
     sums = sums.select(*by, F.greatest(F.ceil(F.col("_weight") / file_bytes), F.lit(1)).alias("_files"))
@@ -34,12 +39,15 @@ def placed(
     for row in plan:
         numbered.append((*row, before))
         before += row["_files"]
+    most = max((row["_files"] for row in plan), default=1)  # files of one partition are in different tasks
+    filled = math.ceil(before * file_bytes / _TASK_BYTES)
+    tasks = max(1, min(before, max(most, filled, 4 * spark.sparkContext.defaultParallelism)))
     schema = ", ".join([*(f"_{c} {df.schema[c].dataType.simpleString()}" for c in by), "_files bigint", "_first bigint"])
     files = spark.createDataFrame(numbered, schema)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_files"))
-    rows = df.join(files, same).withColumn("_file", (F.col("_first") + dealt).cast("int"))
-    return rows.repartitionById(max(1, before), F.col("_file")).select(*df.columns)
+    rows = df.join(files, same).withColumn("_task", ((F.col("_first") + dealt) % tasks).cast("int"))
+    return rows.repartitionById(tasks, F.col("_task")).select(*df.columns)
 
 
 def write_corpus(

@@ -144,6 +144,24 @@ def test_files_follow_the_bytes_of_their_partition(spark, tmp_path):
     assert all(r.files == -(-r.w // 200_000) for r in got.values()) and got["en"].files > 10
 
 
+def test_small_files_share_a_task(spark, tmp_path):
+    """60 partitions of three files each: no task for each file, and still as many files as the bytes fill."""
+    root = str(tmp_path / "small")
+    rows = spark.range(6000).repartition(4).select(
+        F.concat(F.lit("text "), "id").alias("text"), F.repeat(F.lit("x"), 100).cast("binary").alias("audio_bytes"),
+        F.lit(1).cast("long").alias("audio_size"), F.concat(F.lit("c"), F.col("id") % 60).alias("corpus"),
+        F.lit("train").alias("split"), F.lit("en").alias("language"),
+    )
+    weight = F.octet_length("audio_bytes") + F.octet_length("text")
+    tasks = sink.placed(rows, weight, 4000).rdd.getNumPartitions()
+    assert tasks == 4 * spark.sparkContext.defaultParallelism < 180
+    sink.write_corpus(rows, root, file_bytes=4000)
+    stored = scans.read_corpus(spark, root)
+    files = stored.groupBy("corpus").agg(F.count_distinct("_metadata.file_path").alias("files"), F.sum(weight).alias("w"), F.count("*").alias("n"))
+    got = files.collect()
+    assert len(got) == 60 and all(r.files == -(-r.w // 4000) == 3 and r.n == 100 for r in got)
+
+
 def test_rows_are_placed_before_their_audio_is_read(spark):
     from sonoloom.plans import ingest
 
