@@ -136,10 +136,11 @@ def _by_path(spark, sf_dir):
     """Pages landed one file each; three of four rows know only the path of their file."""
     root = sink.scratch_folder(spark)
     pages = table(spark, sf_dir, "pages")
-    page = F.concat_ws("\t", F.col("page_id").cast("string"), "html")
-    pages.select(page).write.option("maxRecordsPerFile", 1).text(root)
+    page = F.concat(F.concat_ws("\t", F.col("page_id").cast("string"), "html"), F.lit("\n"))
+    numbered = pages.withColumn("number", F.monotonically_increasing_id())
+    sink.write_files(numbered, root, sink.file_name(F.col("number"), ".txt"), page)
 
-    files = spark.read.text(root, wholetext=True)
+    files = spark.read.option("recursiveFileLookup", "true").text(root, wholetext=True)
     page_id = F.substring_index("value", "\t", 1).cast("bigint")
     rows = files.select(
         page_id.alias("page_id"),

@@ -222,18 +222,18 @@ def resample(samples: Column, rate: Column, target: int = V.TARGET_RATE) -> Colu
     return run(samples, rate)
 
 
-def _file_uri(path: str, root: str | None) -> str:
+def file_uri(path: str, root: str | None = None) -> str:
     """A path as a URI or absolute path; `root` is put before relative ones."""
     if path.startswith("file:"):
         return "/" + path.removeprefix("file:").lstrip("/")
     if root and not path.startswith("/") and "://" not in path:
-        return _file_uri(f"{root.rstrip('/')}/{path}", None)
+        return file_uri(f"{root.rstrip('/')}/{path}", None)
     return path
 
 
 def _fetch(path: str, root: str | None) -> bytes:
     """The content of the file that a cell names. A store that fails raises OSError."""
-    store, name = fs.FileSystem.from_uri(_file_uri(path, root))
+    store, name = fs.FileSystem.from_uri(file_uri(path, root))
     with store.open_input_stream(name) as stream:
         return stream.read()
 

@@ -1,19 +1,26 @@
 """Writing the prepared corpus, and the folder for written tables."""
 
 import math
+import posixpath
 import tempfile
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sonoloom import fixed_values as V
+from sonoloom.functions import payload
 from sonoloom.schema import PARTITIONS
 
 #: Files smaller than this share a task, up to so many bytes of them.
 _TASK_BYTES = 1 << 27
 
+#: Sub-folders of `file_name`: Spark lists them in parallel.
+_FOLDERS = 64
+
 
 def cell_bytes(cell: Column) -> Column:
     """What an audio cell of all forms weighs before it is processed: its bytes, else its samples; a file not read yet counts 1."""
@@ -87,6 +94,38 @@ def write_corpus(
     )
 
 
+def file_name(number: Column, suffix: str) -> Column:
+    """A name for `write_files`, from a whole number: one of `_FOLDERS` sub-folders and the number itself."""
+    return F.concat(F.pmod(number, F.lit(_FOLDERS)).cast("string"), F.lit("/"), number.cast("string"), F.lit(suffix))
+
+
+def write_files(df: DataFrame, root: str, name: Column, content: Column) -> None:
+    """One file below `root` for each row: its `content`, under its `name`; rows of one name are one file.
+
+    A task opens and closes its files one after the other, with no checksum file, permission call or commit for each.
+    A task that is run again writes the same names. The store must be one that pyarrow can open.
+    """
+    store, top = fs.FileSystem.from_uri(payload.file_uri(root))
+    store.create_dir(top)
+
+    def write(batches):
+        store, top = fs.FileSystem.from_uri(payload.file_uri(root))
+        made = set()
+        for batch in batches:
+            for file, data in zip(batch.column("name").to_pylist(), batch.column("content")):
+                path = f"{top}/{file}"
+                folder = posixpath.dirname(path)
+                if folder not in made:
+                    store.create_dir(folder)
+                    made.add(folder)
+                with store.open_output_stream(path) as out:
+                    out.write(data.as_buffer())
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    named = df.select(name.alias("name"), content.cast("binary").alias("content"))
+    named.mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name in the shared folder of the session.
 

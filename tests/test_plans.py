@@ -162,6 +162,18 @@ def test_small_files_share_a_task(spark, tmp_path):
     assert len(got) == 60 and all(r.files == -(-r.w // 4000) == 3 and r.n == 100 for r in got)
 
 
+def test_landed_files_by_row(spark, tmp_path):
+    """One file for each row, in folders of their own, without a checksum file beside each; an empty table gives an empty folder."""
+    root = str(tmp_path / "landed")
+    rows = spark.range(0, 300, numPartitions=3).select("id", F.repeat(F.lit("é"), F.col("id").cast("int")).alias("text"))
+    sink.write_files(rows, root, sink.file_name(F.col("id"), ".txt"), F.col("text"))
+    found = [p for p in (tmp_path / "landed").rglob("*") if p.is_file()]
+    assert len({p.parent for p in found}) == 64
+    assert {p.name: p.read_bytes().decode() for p in found} == {f"{i}.txt": "é" * i for i in range(300)}
+    sink.write_files(rows.where("id < 0"), f"{root}-none", F.lit("a"), F.col("text"))
+    assert (tmp_path / "landed-none").is_dir()
+
+
 def test_rows_are_placed_before_their_audio_is_read(spark):
     from sonoloom.plans import ingest
 
