@@ -113,18 +113,16 @@ def recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
     wave, rate = F.col("audio.array"), F.col("audio.sampling_rate")
     pcm = audio.quantise(wave)
     folder = sink.scratch_folder(spark)
-    filed = rows.where((kind == 6) & wave.isNotNull()).select("doc_id", payload.encode(pcm, rate).cast("string").alias("value"))
-    filed.write.partitionBy("doc_id").text(folder)
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    paths = paths.select("path", F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"))
+    name, filed = sink.file_name(F.col("doc_id"), ".wav"), (kind == 6) & wave.isNotNull()
+    sink.write_files(rows.where(filed), folder, name, payload.encode(pcm, rate))
     data = F.when(kind == 1, payload.encode(pcm, rate)).when(kind == 2, payload.encode(pcm, rate, 2))
     cell = audio_cell(
         array=F.when(kind.isin(0, 3), wave),
         sampling_rate=F.when(kind == 0, rate),
         bytes=data.when(kind == 4, F.encode(F.concat(F.lit("RIFF no audio "), F.col("doc_id").cast("string")), "utf-8")),
-        path=F.col("path"),
+        path=F.when(filed, F.concat(F.lit(f"{folder}/"), name)),
     )
-    return rows.join(paths, "doc_id", "left").withColumn("audio", cell).drop("path")
+    return rows.withColumn("audio", cell)
 
 
 #: What the cells of `recorded` hold once they are read: `heard`, with `wave` (mono) and `rate`.

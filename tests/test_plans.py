@@ -162,6 +162,22 @@ def test_small_files_share_a_task(spark, tmp_path):
     assert len(got) == 60 and all(r.files == -(-r.w // 4000) == 3 and r.n == 100 for r in got)
 
 
+def test_recordings_are_landed_under_their_own_names(spark, tmp_path):
+    """Paths are known from the ids: nothing is listed or joined, and a repeated id does not multiply its rows."""
+    sf_dir = str(tmp_path)
+    docs = spark.range(0, 28, numPartitions=4).selectExpr("id % 14 AS doc_id", "'some words' AS text", "'en' AS lang", "'src0' AS source")
+    docs.write.parquet(f"{sf_dir}/documents.parquet")
+    vectors = spark.range(20).select(F.col("id").alias("vec_id"), F.array_repeat(F.lit(0.5).cast("float"), 64).alias("embedding"))
+    vectors.write.parquet(f"{sf_dir}/embeddings.parquet")
+    out = stand_ins.recorded(spark, sf_dir)
+    assert "binaryFile" not in plan(out)
+    got = out.where("doc_id % 7 = 6").select("doc_id", "audio.path").collect()
+    assert sorted(r.doc_id for r in got) == [6, 6, 13, 13]
+    for r in got:
+        content = open(r.path.removeprefix("file://"), "rb").read()
+        assert content[:4] == b"RIFF" and len(content) == 44 + 2 * 64
+
+
 def test_landed_files_by_row(spark, tmp_path):
     """One file for each row, in folders of their own, without a checksum file beside each; an empty table gives an empty folder."""
     root = str(tmp_path / "landed")
