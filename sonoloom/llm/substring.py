@@ -148,7 +148,8 @@ def _shard_matches(window: int):
 def candidates(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(`key`, `text`, `runs`) for the different texts with runs whose anchor occurs again anywhere."""
     texts = docs.where("text is not null").select(content_key("text").alias("key"), "text")
-    texts = texts.groupBy("key").agg(F.first("text").alias("text"))
+    # The filter drops nothing: the join on the key asks for it, and with it everywhere the texts are shuffled only once.
+    texts = texts.groupBy("key").agg(F.first("text").alias("text")).where("key is not null")
     runs = texts.mapInArrow(_runs_of(window, gram), "key binary, anchor bigint, start int, n int")
     # Dealt anew, so that it is no aggregation in the join: adaptive execution then splits an anchor of very many runs.
     again = runs.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1").repartition(F.xxhash64("anchor"))

@@ -604,3 +604,14 @@ def test_repeated_rows_lose_each_line_once(spark, tmp_path):
 @pytest.mark.parametrize("line, want", [("", ""), (" \t ", ""), ("a", "a"), ("\t A  b\r", "a b"), ("x \t\x0b9 1É ", "x 0 0é"), ("a b\x0cc", "a b c")])
 def test_plain_lines(spark, line, want):
     assert spark.range(1).select(quality.plain_line(F.lit(line))).first()[0] == want
+
+
+def test_substring_texts_are_shuffled_once(spark):
+    """The runs, the anchor counts and the candidates take the texts from one exchange."""
+    from sonoloom.llm import substring
+
+    docs = spark.createDataFrame([(i, " ".join([*(f"w{j}" for j in range(50)), f"end{i}"])) for i in range(12)], "doc_id bigint, text string")
+    found = substring.candidates(docs.repartition(3), 35, 10)
+    assert len(found.collect()) == 12
+    text = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert text.count("partial_first(text") == 1 and "ReusedExchange" in text
