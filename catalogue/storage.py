@@ -95,10 +95,11 @@ def _placed(spark, sf_dir):
     """Rows of each partition, and whether it has no more files than its bytes fill."""
     root = sink.scratch_folder(spark)
     sink.write_corpus(_prepared(spark, sf_dir), root, file_bytes=_FILE_BYTES)
-    stored = scans.read_corpus(spark, root).withColumn("weight", F.octet_length("text") + F.octet_length("audio_bytes"))
+    weight = F.octet_length("text") + F.octet_length("audio_bytes")
+    stored = scans.read_corpus(spark, root, file_column="file").withColumn("weight", weight)
     return stored.groupBy("corpus", "split", "language").agg(
         F.count("*").alias("rows"),
-        (F.count_distinct("_metadata.file_path") <= F.ceil(F.sum("weight") / _FILE_BYTES)).alias("fits"),
+        (F.count_distinct("file") <= F.ceil(F.sum("weight") / _FILE_BYTES)).alias("fits"),
     )
 
 

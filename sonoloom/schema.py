@@ -46,6 +46,9 @@ TARGET = T.StructType(
 # Directory levels of the stored corpus, outermost first.
 PARTITIONS = ("version", "corpus", "split", "language")
 
+# The name of a partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 # The prepared corpus as read back: partition values stay text, so corpus=123 is '123'.
 STORED = T.StructType(TARGET.fields + [T.StructField("version", T.IntegerType())])
 

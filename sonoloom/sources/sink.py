@@ -1,23 +1,41 @@
 """Writing the prepared corpus, and the folder for written tables."""
 
+import bisect
+import itertools
 import math
+import os
 import posixpath
+import re
+import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sonoloom import fixed_values as V
 from sonoloom.functions import payload
-from sonoloom.schema import PARTITIONS
+from sonoloom.schema import NO_VALUE, PARTITIONS
+from sonoloom.sources import scans
 
 #: Files smaller than this share a task, up to so many bytes of them.
 _TASK_BYTES = 1 << 27
 
+#: So many partitions at most are sent to all executors.
+_BROADCAST_ROWS = 1 << 16
+
+#: A row group with so many bytes ends before it has all its rows.
+_GROUP_BYTES = 1 << 27
+
+#: What Spark writes as %XX in the name of a partition.
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
 #: Sub-folders of `file_name`: Spark lists them in parallel.
 _FOLDERS = 64
 
@@ -28,33 +46,52 @@ def cell_bytes(cell: Column) -> Column:
     return F.coalesce(F.octet_length(cell["bytes"]), samples, F.lit(1))
 
 
-def placed(
-    df: DataFrame, weight: Column, file_bytes: int, by: Sequence[str] = PARTITIONS[1:]
-) -> DataFrame:
-    """The rows of `df`, each sent once to the task that will write its file. [K1]
+def _numbered(
+    df: DataFrame, weight: Column, file_bytes: int, by: Sequence[str]
+) -> tuple[DataFrame, list[tuple[int, int, list[str | None]]]]:
+    """`df` with the number of the `_file` of each row, and what is planned: (first, files, values) of each partition.
 
     A first pass over `by` and `weight` alone adds up what each partition of the corpus weighs; a partition gets as many
     files of `file_bytes` as its weight fills, the last one in part. Rows are dealt among the files of their
-    partition at random. A task writes one file of each of several partitions, as many as make `_TASK_BYTES`, so that
-    small files do not cost a task each. Place rows before their audio is read and the audio is never shuffled.
+    partition at random.
     """
     sums = df.select(*by, weight.alias("_weight")).groupBy(*by).agg(F.sum("_weight").alias("_weight"))
-    sums = sums.select(*by, F.greatest(F.ceil(F.col("_weight") / file_bytes), F.lit(1)).alias("_files"))
-    plan = sums.collect()  # one row for each directory that will be written
-    spark = df.sparkSession
-    before, numbered = 0, []
-    for row in plan:
-        numbered.append((*row, before))
-        before += row["_files"]
-    most = max((row["_files"] for row in plan), default=1)  # files of one partition are in different tasks
-    filled = math.ceil(before * file_bytes / _TASK_BYTES)
-    tasks = max(1, min(before, max(most, filled, 4 * spark.sparkContext.defaultParallelism)))
+    number = F.greatest(F.ceil(F.col("_weight") / file_bytes), F.lit(1)).alias("_files")
+    sums = sums.select(*by, number, F.array(*(F.col(c).cast("string") for c in by)))
+    before, known, plan = 0, [], []
+    for *row, values in sums.collect():  # one row for each directory that will be written
+        known.append((*row, before))
+        plan.append((before, row[-1], values))
+        before += row[-1]
     schema = ", ".join([*(f"_{c} {df.schema[c].dataType.simpleString()}" for c in by), "_files bigint", "_first bigint"])
-    files = spark.createDataFrame(numbered, schema)
+    files = df.sparkSession.createDataFrame(known, schema)
+    if len(known) <= _BROADCAST_ROWS:  # Spark does not know the size and would shuffle `df` to join it
+        files = F.broadcast(files)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
     dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_files"))
-    rows = df.join(files, same).withColumn("_task", ((F.col("_first") + dealt) % tasks).cast("int"))
-    return rows.repartitionById(tasks, F.col("_task")).select(*df.columns)
+    return df.join(files, same).select(*df.columns, (F.col("_first") + dealt).alias("_file")), plan
+
+
+def _sent(rows: DataFrame, plan: list, file_bytes: int, least: int = 1) -> DataFrame:
+    """Each row in the task that writes its file; a task has as many files as make `_TASK_BYTES`."""
+    total = sum(number for _, number, _ in plan)
+    filled = math.ceil(total * file_bytes / _TASK_BYTES)
+    tasks = max(1, min(total, max(least, filled, 4 * rows.sparkSession.sparkContext.defaultParallelism)))
+    return rows.repartitionById(tasks, (F.col("_file") % tasks).cast("int"))
+
+
+def placed(
+    df: DataFrame, weight: Column, file_bytes: int, by: Sequence[str] = PARTITIONS[1:]
+) -> DataFrame:
+    """The rows of `df`, each sent once to the task that will write its file. [K1]
+
+    Each partition has the files of `_numbered`. A task writes one file of each of several partitions, as many as make
+    `_TASK_BYTES`, so that small files do not cost a task each. Place rows before their audio is read and the audio is
+    never shuffled.
+    """
+    rows, plan = _numbered(df, weight, file_bytes, by)
+    most = max((number for _, number, _ in plan), default=1)  # files of one partition are in different tasks
+    return _sent(rows, plan, file_bytes, most).select(*df.columns)
 
 
 def write_corpus(
@@ -75,10 +112,15 @@ def write_corpus(
     `rebalance` shuffles all rows instead and gathers each partition into files of the advisory size:
     small partitions share a task, and one that holds most of the rows is divided among many.
     `file_bytes` shuffles them once as well, into files of that size before compression; `placed` does that before
-    the audio is there.
+    the audio is there. In a mounted file system such files are written by `_write_numbered`, any number of them in a task.
     """
     if file_bytes:
-        df = placed(df, F.octet_length("audio_bytes") + F.octet_length("text"), file_bytes)
+        weight = F.octet_length("audio_bytes") + F.octet_length("text")
+        top = scans.mounted(df.sparkSession, root)
+        if top and not rows_per_file and not rebalance:
+            rows, plan = _numbered(df.drop("version"), weight, file_bytes, PARTITIONS[1:])
+            return _write_numbered(_sent(rows, plan, file_bytes), plan, top, version, dictionary, rows_per_group)
+        df = placed(df, weight, file_bytes)
     df = df.withColumn("version", F.lit(version))
     if rebalance:
         df = df.hint("rebalance", *PARTITIONS)
@@ -94,6 +136,94 @@ def write_corpus(
     )
 
 
+def _folder(version: int, values: Sequence[str | None]) -> str:
+    """The directory of a partition below its root, as Spark names it."""
+    named = zip(PARTITIONS, (str(version), *values), strict=True)
+    return "/".join(f"{c}={_ESCAPED.sub(lambda m: f'%{ord(m[0]):02X}', v) if v else NO_VALUE}" for c, v in named)
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows of one number that follow each other, with the number."""
+    for batch in batches:
+        numbers = batch.column("_file").to_numpy()
+        ends = [*(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+        rows = batch.drop_columns(["_file"])
+        for start, end in itertools.pairwise([0, *ends]):
+            if end > start:
+                yield int(numbers[start]), rows.slice(start, end - start)
+
+
+def _row_groups(runs: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """The rows anew in tables of `most` rows; one ends after the run that fills `_GROUP_BYTES`, the last has what is left."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for run in runs:
+        while run.num_rows:
+            part = run.slice(0, most - rows)
+            run = run.slice(part.num_rows)
+            held.append(part)
+            rows, size = rows + part.num_rows, size + part.nbytes
+            if rows == most or size >= _GROUP_BYTES:
+                yield pa.Table.from_batches(held)
+                held, rows, size = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _write_numbered(
+    rows: DataFrame, plan: list, top: str, version: int, dictionary: bool, rows_per_group: int
+) -> None:
+    """The files of `_numbered`, whose rows are in one task each, in the layout and by the rules of `write_corpus`.
+
+    A task sorts its rows by file and writes one file after the other, so one is open at a time, with no checksum file
+    or permission call for each. A file is written aside and renamed once whole, into a folder that readers pass over;
+    a task that is run again makes the same names. When all are there, whole partitions are renamed.
+    """
+    data = [c for c in rows.columns if c not in PARTITIONS]
+    job = uuid.uuid4().hex
+    staged = f"{top}/.sonoloom-{job}"
+    firsts, folders = [first for first, _, _ in plan], [_folder(version, values) for _, _, values in plan]
+    about = {
+        "org.apache.spark.version": rows.sparkSession.version,
+        "org.apache.spark.sql.parquet.row.metadata": rows.select(*(c for c in data if c != "_file")).schema.json(),
+    }
+
+    def write(batches):
+        aside = f"{staged}/attempt-{TaskContext.get().taskAttemptId()}"
+        made, files = set(), 0
+        for number, runs in itertools.groupby(_runs(batches), lambda run: run[0]):
+            folder = folders[bisect.bisect_right(firsts, number) - 1]
+            groups = _row_groups((run for _, run in runs), rows_per_group)
+            first = next(groups)
+            options = {
+                "compression": "zstd", "compression_level": 3, "use_dictionary": dictionary, "store_schema": False,
+                # the least and greatest text of a page would be written out twice, uncompressed
+                "write_statistics": [f.name for f in first.schema if pa.types.is_primitive(f.type)],
+            }
+            with open(aside, "wb") as out, pq.ParquetWriter(out, first.schema.with_metadata(about), **options) as writer:
+                for group in itertools.chain([first], groups):
+                    writer.write_table(group, row_group_size=rows_per_group)
+            if folder not in made:
+                os.makedirs(f"{staged}/{folder}", exist_ok=True)
+                made.add(folder)
+            os.replace(aside, f"{staged}/{folder}/part-{number:05d}-{job}.zstd.parquet")
+            files += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    os.makedirs(staged)
+    try:
+        rows.select(*data).sortWithinPartitions("_file").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+        for folder in dict.fromkeys(folders):
+            if not os.path.exists(f"{staged}/{folder}"):  # its rows were gone when they were read again
+                continue
+            if os.path.exists(f"{top}/{folder}"):
+                shutil.rmtree(f"{top}/{folder}")
+            os.makedirs(posixpath.dirname(f"{top}/{folder}"), exist_ok=True)
+            os.replace(f"{staged}/{folder}", f"{top}/{folder}")
+    finally:
+        shutil.rmtree(staged, ignore_errors=True)
+
+
 def file_name(number: Column, suffix: str) -> Column:
     """A name for `write_files`, from a whole number: one of `_FOLDERS` sub-folders and the number itself."""
     return F.concat(F.pmod(number, F.lit(_FOLDERS)).cast("string"), F.lit("/"), number.cast("string"), F.lit(suffix))

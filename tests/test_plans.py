@@ -162,6 +162,48 @@ def test_small_files_share_a_task(spark, tmp_path):
     assert len(got) == 60 and all(r.files == -(-r.w // 4000) == 3 and r.n == 100 for r in got)
 
 
+def test_rows_are_sent_once_to_be_placed(spark):
+    """The planned files are broadcast even if Spark would take no table for small, so rows are not shuffled to meet them."""
+    texts = [F.concat(F.lit(c), F.col("id") % 3).alias(c) for c in ("corpus", "split", "language")]
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        text = plan(sink.placed(spark.range(100).select("id", *texts), F.lit(1), 10))
+    finally:
+        spark.conf.set(threshold, before)
+    assert text.count("BroadcastHashJoin") == 1 and len(re.findall(r"(?<!Broadcast)Exchange ", text)) == 1
+
+
+def test_files_of_one_partition_share_tasks(spark, tmp_path):
+    """One partition of 300 small files: not a task for each, neither when they are written nor when they are read."""
+    root, group = str(tmp_path / "one"), "one partition"
+    rows = spark.range(6000).repartition(4).select(
+        F.concat(F.lit("text "), "id").alias("text"), F.repeat(F.lit("x"), 90).cast("binary").alias("audio_bytes"),
+        F.col("id").alias("audio_size"), F.lit("c").alias("corpus"), F.lit("train").alias("split"),
+        F.when(F.col("id") % 50 == 1, None).otherwise("en").alias("language"),
+    )
+    weight = F.octet_length("audio_bytes") + F.octet_length("text")
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        sink.write_corpus(rows, root, file_bytes=2000)
+        stored = scans.read_corpus(spark, root, file_column="file")
+        got = stored.groupBy("language").agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"), F.sum(weight).alias("w")).collect()
+    finally:
+        sc._jsc.sc().clearJobGroup()
+    assert {r.language: r.n for r in got} == {"en": 5880, None: 120}
+    assert all(r.files == -(-r.w // 2000) for r in got) and max(r.files for r in got) > 280
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    assert max(info.numTasks for s in stages if (info := tracker.getStageInfo(s))) <= 4 * sc.defaultParallelism
+    columns = ("text", "audio_bytes", "audio_size", "corpus", "split", "language")
+    assert sorted(r.audio_size for r in stored.collect()) == list(range(6000))
+    assert stored.select(*columns).exceptAll(rows.select(*columns)).count() == 0
+    assert {p.suffix for p in (tmp_path / "one").rglob("*") if p.is_file()} == {".parquet"}
+    assert [p.name for p in (tmp_path / "one").iterdir()] == ["version=0"]
+
+
 def test_recordings_are_landed_under_their_own_names(spark, tmp_path):
     """Paths are known from the ids: nothing is listed or joined, and a repeated id does not multiply its rows."""
     sf_dir = str(tmp_path)

@@ -3,6 +3,7 @@ import wave
 from glob import glob
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyarrow import fs
@@ -130,6 +131,98 @@ def test_a_cell_by_its_place_reads_one_row_group(spark, root, monkeypatch):
         stored_files.lookup_row(spark, path, 1000, "text").collect()
 
 
+def odd(spark):
+    """Partition values that Spark writes otherwise than they are, each with two rows."""
+    values = [*("".join(map(chr, range(c, min(c + 16, 128)))) for c in range(1, 128, 16)), "é%C3ß", " ", "..", "", None]
+    return spark.createDataFrame([(f"{v!r} {i}", v) for v in values for i in (0, 1)], "text string, corpus string").select(
+        "text", F.encode("text", "utf-8").alias("audio_bytes"), F.lit(7).cast("long").alias("audio_size"), "corpus",
+        F.lit("train").alias("split"), F.lit("en").alias("language"),
+    )
+
+
+def test_numbered_files_lie_where_sparks_writer_puts_them(spark, tmp_path):
+    plain, small = tmp_path / "plain a%20b", tmp_path / "small a%20b"
+    sink.write_corpus(odd(spark), str(plain))
+    sink.write_corpus(odd(spark), f"file://{small}", file_bytes=1 << 20)
+    folders = [{str(p.relative_to(top)) for p in top.rglob("*") if p.is_dir()} for top in (plain, small)]
+    assert folders[0] == folders[1] and len(folders[0]) == 37
+    read = [scans.read_corpus(spark, str(top)) for top in (plain, small)]
+    assert read[0].exceptAll(read[1]).count() == read[1].exceptAll(read[0]).count() == 0
+    by_file = scans.read_corpus(spark, str(plain), file_column="file")
+    assert by_file.drop("file").schema == read[0].schema
+    assert by_file.drop("file").exceptAll(read[0]).count() == read[0].exceptAll(by_file.drop("file")).count() == 0
+    assert by_file.where("corpus is null").count() == 4
+
+
+def test_numbered_files_follow_the_options_of_the_sink(spark, root):
+    rows = prepared(spark).withColumn("text", F.lit("same"))
+    sink.write_corpus(rows, root, version=3, dictionary=False, file_bytes=1 << 20)
+    (path,) = glob(f"{root}/version=3/corpus=c/split=train/language=gom_Deva/*.parquet")
+    footer = pq.ParquetFile(path).metadata
+    assert [footer.row_group(i).num_rows for i in range(footer.num_row_groups)] == [100] * 10
+    assert footer.row_group(0).column(0).compression == "ZSTD"
+    assert not any("DICTIONARY" in e for e in footer.row_group(0).column(0).encodings)
+    assert spark.read.parquet(path).dtypes == [("text", "string"), ("audio_bytes", "binary"), ("audio_size", "bigint")]
+    sink.write_corpus(rows, root, version=4, rows_per_group=30, file_bytes=1 << 20)
+    (path,) = glob(f"{root}/version=4/**/*.parquet", recursive=True)
+    footer = pq.ParquetFile(path).metadata
+    assert [footer.row_group(i).num_rows for i in range(footer.num_row_groups)] == [30] * 33 + [10]
+    assert any("DICTIONARY" in e for e in footer.row_group(0).column(0).encodings)
+    sink.write_corpus(rows, root, version=5, rows_per_file=300, file_bytes=1 << 20)
+    counts = [pq.ParquetFile(f).metadata.num_rows for f in glob(f"{root}/version=5/**/*.parquet", recursive=True)]
+    assert sorted(counts) == [100, 300, 300, 300]
+
+
+def test_numbered_files_replace_their_partitions_only(spark, root):
+    sink.write_corpus(prepared(spark, split="train"), root, file_bytes=4000)
+    sink.write_corpus(prepared(spark, split="test"), root, file_bytes=4000)
+    before = files(root, "corpus=c/split=train/*")
+    assert len(before) > 2
+    sink.write_corpus(prepared(spark, n=3, split="test"), root, file_bytes=4000)
+    sink.write_corpus(prepared(spark).filter("false"), root, file_bytes=4000)
+    assert files(root, "corpus=c/split=train/*") == before
+    assert {r.split: r["count"] for r in scans.read_corpus(spark, root).groupBy("split").count().collect()} == {"train": 1000, "test": 3}
+    broken = prepared(spark, n=3, split="test").withColumn("audio_size", F.raise_error(F.lit("no size")).cast("long"))
+    with pytest.raises(Exception, match="no size"):
+        sink.write_corpus(broken, root, file_bytes=4000)
+    assert scans.read_corpus(spark, root).count() == 1003
+    assert [p.rsplit("/", 1)[1] for p in glob(f"{root}/*") + glob(f"{root}/.*")] == ["version=0"]
+
+
+def test_large_rows_end_a_row_group(monkeypatch):
+    rows = pa.RecordBatch.from_pydict({"n": range(40), "audio_bytes": [b"x" * 1500] * 40})
+    assert [t.num_rows for t in sink._row_groups([rows.slice(0, 7), rows.slice(7)], 30)] == [30, 10]
+    monkeypatch.setattr(sink, "_GROUP_BYTES", 5000)
+    groups = list(sink._row_groups([rows.slice(i, 4) for i in range(0, 40, 4)], 30))
+    assert [t.num_rows for t in groups] == [4] * 10 and pa.concat_tables(groups)["n"].to_pylist() == list(range(40))
+
+
+def test_rows_with_their_file(spark, root):
+    """Hidden and empty files are none, a column that is not there is NULL, other layouts are left to Spark."""
+    sink.write_corpus(prepared(spark, n=10, corpus="007"), root)
+    sink.write_corpus(prepared(spark, n=5, split="test").drop("audio_size"), root)
+    sink.write_corpus(prepared(spark, n=2), root, version=1)
+    folder = f"{root}/version=0/corpus=007/split=train/language=gom_Deva"
+    for name in ("nothing.parquet", "_hidden.parquet", ".x.parquet"):
+        with open(f"{folder}/{name}", "wb") as out:
+            out.write(b"no Parquet" * (name != "nothing.parquet"))
+    stored = scans.read_corpus(spark, root, file_column="file", version=0)
+    assert {(r.corpus, r.split, r.version, r.audio_size): r["count"] for r in stored.groupBy("corpus", "split", "version", "audio_size").count().collect()} == {
+        ("007", "train", 0, 160): 10, ("c", "test", 0, None): 5
+    }
+    assert {r.file for r in stored.collect()} <= set(files(root))
+    assert scans.read_corpus(spark, root, file_column="file", corpus="c").count() == 7
+    assert scans.read_corpus(spark, root, file_column="file", corpus="d").count() == 0
+    with open(f"{folder}/damaged.parquet", "wb") as out:
+        out.write(b"not parquet")
+    with pytest.raises(Exception):
+        scans.read_corpus(spark, root, file_column="file").collect()
+    whole = scans.read_corpus(spark, root, skip_corrupt=True, file_column="file", version=0)
+    assert whole.count() == 15 and "damaged" not in {r.file for r in whole.collect()}
+    flat = scans.read_corpus(spark, f"{root}/version=0/corpus=007", file_column="file", split="train", skip_corrupt=True)
+    assert flat.count() == 10
+
+
 def test_read_split(spark, root):
     rows = spark.range(4).select(
         F.struct(F.lit(b"x").alias("bytes"), F.lit("p").alias("path")).alias("audio"),
